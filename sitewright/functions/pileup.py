@@ -15,24 +15,29 @@ def occurrences(text: Column, symbol: str) -> Column:
 
 def strip_indels(bases: Column) -> Column:
     """Remove ``+n``/``-n`` marks with the n characters that follow, for any n."""
-    pieces = F.split(bases, r"[+-]\d+")
-    sizes = F.regexp_extract_all(bases, F.lit(r"[+-](\d+)"), F.lit(1))
-    tails = F.transform(
-        F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
-        lambda piece, i: F.substring(piece, F.get(sizes, i).cast("int") + 1, F.length(piece)),
-    )
-    stripped = F.concat(F.get(pieces, F.lit(0)), F.array_join(tails, ""))
+
+    def rest(piece: Column, i: Column) -> Column:
+        size = F.regexp_extract(piece, r"^\d+", 0)
+        return F.when(i == 0, piece).otherwise(
+            F.substring(piece, F.length(size) + size.cast("int") + 1, F.length(piece))
+        )
+
+    stripped = F.array_join(F.transform(F.split(bases, r"[+-](?=\d)"), rest), "")
     return F.when(bases.rlike(r"[+-]\d"), stripped).otherwise(bases)
 
 
+def without_starts(bases: Column) -> Column:
+    """Remove each ``^`` with the mapping quality it hides."""
+    return F.regexp_replace(bases, r"\^.", "")
+
+
 def decode(ref: Column, bases: Column) -> Column:
     """Reads' bases at a pileup position, as a string over ``ACGT*``.
 
-    A ``^`` hides the mapping quality after it, indel marks are skipped, dots and
-    commas stand for the reference base; everything else outside ``ACGT*`` is dropped.
+    Takes bases without read starts. Indel marks are skipped, dots and commas stand for
+    the reference base; everything else outside ``ACGT*`` is dropped.
     """
-    seen = strip_indels(F.regexp_replace(bases, r"\^.", ""))
-    as_ref = F.replace(F.replace(seen, F.lit("."), ref), F.lit(","), ref)
+    as_ref = F.replace(F.replace(strip_indels(bases), F.lit("."), ref), F.lit(","), ref)
     return F.regexp_replace(F.upper(as_ref), "[^ACGT*]", "")
 
 

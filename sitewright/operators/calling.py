@@ -20,7 +20,8 @@ def _counts() -> dict:
 
 def decode_pileup(pileup: DataFrame) -> DataFrame:
     """Add ``decoded`` to pileup rows that have depth."""
-    return pileup.filter(F.col("depth") > 0).withColumn("decoded", P.decode(F.col("ref"), F.col("bases")))
+    seen = pileup.filter(F.col("depth") > 0).withColumn("_seen", P.without_starts(F.col("bases")))
+    return seen.withColumn("decoded", P.decode(F.col("ref"), F.col("_seen"))).drop("_seen")
 
 
 def depth_mismatches(pileup: DataFrame) -> DataFrame:

@@ -19,44 +19,25 @@ def mapped_only(sam: DataFrame) -> DataFrame:
 
 
 def with_query_length(maps: DataFrame) -> DataFrame:
-    return maps.withColumn("length", C.query_length("cigar"))
+    return C.with_segments(maps).withColumn("length", C.query_length()).drop("segs")
 
 
 def aligned_runs(maps: DataFrame) -> DataFrame:
-    """One row per ``M`` segment with genome start and contig position of its first base.
+    """One row per matched run with the genome and contig position of its first base.
 
     Offsets are sums over the earlier segments of the same row, so no shuffle is needed.
     """
-    segs = F.col("segs")
-
-    def before(ops):
-        def upto(acc, s):
-            return F.struct(
-                (acc["at"] + F.when(s["op"].isin(*ops), s["size"]).otherwise(F.lit(0))).alias("at"),
-                F.concat(acc["starts"], F.array(acc["at"])).alias("starts"),
-            )
-
-        zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-        return F.aggregate(segs, zero, upto, lambda acc: acc["starts"])
-
-    zipped = F.arrays_zip(F.col("segs"), F.col("on_genome"), F.col("on_contig"))
-    runs = (
-        maps.filter(F.col("direction").isin(FORWARD, REVERSE))
-        .withColumn("length", C.query_length("cigar"))
-        .withColumn("segs", C.segments("cigar"))
-        .withColumn("on_genome", before("MD"))
-        .withColumn("on_contig", before("MI"))
-        .withColumn("z", F.explode(zipped))
-        .filter(F.col("z.segs.op") == "M")
-    )
+    placed = maps.filter(F.col("direction").isin(FORWARD, REVERSE))
+    walked = C.with_segments(placed).withColumn("w", C.walk())
+    runs = walked.select("*", F.col("w.contig").alias("length"), F.explode("w.runs").alias("run"))
     forward = F.col("direction") == FORWARD
     return runs.select(
         "contig",
         "chrom",
         "direction",
-        (F.col("start") + F.col("z.on_genome")).alias("genome_pos"),
-        F.when(forward, F.col("z.on_contig") + 1).otherwise(F.col("length") - F.col("z.on_contig")).alias("contig_pos"),
-        F.col("z.segs.size").alias("size"),
+        (F.col("start") + F.col("run.genome")).alias("genome_pos"),
+        F.when(forward, F.col("run.contig") + 1).otherwise(F.col("length") - F.col("run.contig")).alias("contig_pos"),
+        F.col("run.size").alias("size"),
     )
 
 
@@ -72,12 +53,10 @@ def keep_unique(bed: DataFrame) -> DataFrame:
     """Drop every row whose ``(chrom, start)`` occurs more than once.
 
     A count with map-side partial sums; the surviving groups hold one row, so the
-    maxima are that row. A position hit by a large share of all rows stays cheap.
+    maximum is that row's name. A position hit by a large share of all rows stays cheap.
     """
-    grouped = bed.groupBy("chrom", "start").agg(
-        F.count("*").alias("hits"), F.max("end").alias("end"), F.max("name").alias("name")
-    )
-    return grouped.filter(F.col("hits") == 1).drop("hits")
+    grouped = bed.groupBy("chrom", "start").agg(F.count("*").alias("hits"), F.max("name").alias("name"))
+    return grouped.filter(F.col("hits") == 1).select("chrom", "start", (F.col("start") + 1).alias("end"), "name")
 
 
 def overlap_report(bed: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewright.session import spread
+
 TAXA = [f"t{i}" for i in range(8)]
 REFERENCES = ["t0", "t1", "t2"]
 SPAN = 50
@@ -19,9 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pileup_lines(spark, sf_dir) -> DataFrame:
-    """``(taxon, value)`` pileup lines: each line item is a fragment of a pileup."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+def pileup(spark, sf_dir) -> DataFrame:
+    """Pileup rows: each line item is a fragment of a taxon's pileup at a site."""
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     shift = "CASE WHEN l_partkey % 3 = 0 AND tn < 1 + l_partkey % 4 THEN 1 WHEN l_partkey % 5 = 0 AND tn = 6 THEN 2 ELSE 0 END"
     pick = f"CASE WHEN (l_orderkey * 31 + l_linenumber * 17) % 10 < 8 THEN (l_partkey + {shift}) % 5 ELSE (l_orderkey + l_linenumber) % 5 END"
     made = (
@@ -43,18 +45,21 @@ def pileup_lines(spark, sf_dir) -> DataFrame:
     )
     return made.select(
         F.concat(F.lit("t"), "tn").alias("taxon"),
-        F.concat_ws(
-            "\t",
-            F.expr(f"concat('c', l_partkey div {SPAN})"),
-            F.expr(f"1 + l_partkey % {SPAN}").cast("string"),
-            "ref",
-            F.col("reps").cast("string"),
-            F.repeat(token, F.col("reps")),
-            F.repeat(F.lit("I"), F.col("reps")),
-        ).alias("value"),
+        F.expr(f"concat('c', l_partkey div {SPAN})").alias("contig"),
+        F.expr(f"1 + l_partkey % {SPAN}").cast("bigint").alias("pos"),
+        "ref",
+        F.col("reps").alias("depth"),
+        F.repeat(token, F.col("reps")).alias("bases"),
+        F.repeat(F.lit("I"), F.col("reps")).alias("quals"),
     )
 
 
+def pileup_lines(spark, sf_dir) -> DataFrame:
+    """The same rows as text, ``(taxon, value)``."""
+    fields = ["contig", "pos", "ref", "depth", "bases", "quals"]
+    return pileup(spark, sf_dir).select("taxon", F.concat_ws("\t", *[F.col(f).cast("string") for f in fields]).alias("value"))
+
+
 def sites(spark, sf_dir) -> DataFrame:
     """Site universe ``(contig_ord, contig, pos)``: one site per part."""
     part = table(spark, sf_dir, "part")
@@ -93,7 +98,8 @@ def contig_table(spark, sf_dir) -> DataFrame:
 
 def map_rows(spark, sf_dir) -> DataFrame:
     """Genome map rows with clips, indels and all three kinds of direction."""
-    li = table(spark, sf_dir, "lineitem")
+    needed = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus"]
+    li = spread(table(spark, sf_dir, "lineitem").select(needed))
     return li.select(
         F.expr("concat('q', l_orderkey, '_', l_linenumber)").alias("contig"),
         F.expr("concat('chr', l_suppkey % 5)").alias("chrom"),

@@ -40,7 +40,7 @@ def query(fn):
 
 
 def _votes(spark, sf_dir):
-    return CA.pool_evidence(parse_pileup(X.pileup_lines(spark, sf_dir)))
+    return CA.pool_evidence(X.pileup(spark, sf_dir))
 
 
 def _calls(spark, sf_dir):
@@ -59,15 +59,20 @@ def _classified(spark, sf_dir):
     return AL.classify_sites(_variable(spark, sf_dir))
 
 
+@query
+def pileup_scan(spark, sf_dir):
+    return parse_pileup(X.pileup_lines(spark, sf_dir))
+
+
 @query
 def pileup_decode(spark, sf_dir):
-    decoded = CA.decode_pileup(parse_pileup(X.pileup_lines(spark, sf_dir)))
+    decoded = CA.decode_pileup(X.pileup(spark, sf_dir))
     return decoded.select("taxon", "contig", "pos", "depth", "decoded")
 
 
 @query
 def depth_mismatches(spark, sf_dir):
-    bad = CA.depth_mismatches(parse_pileup(X.pileup_lines(spark, sf_dir)))
+    bad = CA.depth_mismatches(X.pileup(spark, sf_dir))
     return bad.groupBy("taxon").agg(F.count("*").alias("n_rows"))
 
 
@@ -227,8 +232,8 @@ def mapped_alignments(spark, sf_dir):
 
 @query
 def cigar_segments(spark, sf_dir):
-    maps = X.map_rows(spark, sf_dir)
-    return maps.select("contig", "cigar", F.posexplode(C.segments("cigar")).alias("segment", "s")).select(
+    maps = C.with_segments(X.map_rows(spark, sf_dir))
+    return maps.select("contig", "cigar", F.posexplode("segs").alias("segment", "s")).select(
         "contig", "cigar", "segment", "s.size", "s.op"
     )
 

@@ -18,6 +18,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -34,3 +35,13 @@ def materialise(df: DataFrame) -> DataFrame:
     if sc.getConf().get("spark.checkpoint.dir") is None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="sitewright-checkpoint-"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of an input with fewer splits than cores among all cores.
+
+    Helps files that cannot be split (compressed text, a single row group) before heavy
+    work on each row. An input with enough splits is passed on as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

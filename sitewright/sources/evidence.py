@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from sitewright.functions.text import isolate_id
 from sitewright.schema import MAP_DATA, READ_STATS
+from sitewright.session import spread
 from sitewright.sources.lines import parent_folder, read_records
 
 
+# A line with at least five fields whose fourth is a positive number.
+WITH_DEPTH = r"^\s*\S+\s+\S+\s+\S+\s+0*[1-9]\d*\s+\S"
+
+
 def parse_pileup(lines: DataFrame) -> DataFrame:
     """Pileup lines (``taxon, value``) with depth, split into six fields.
 
     Lines of at most four fields or without depth are skipped; others must have six.
     """
-    f = F.split(F.trim("value"), r"\s+")
-    kept = lines.withColumn("f", f).filter(F.size("f") > 4).filter(F.col("f")[3].cast("int") > 0)
+    cut = lines.filter(F.col("value").rlike(WITH_DEPTH)).select("taxon", F.split(F.trim("value"), r"\s+").alias("f"))
     fields = F.when(F.size("f") == 6, F.col("f")).otherwise(
-        F.raise_error(F.concat(F.lit("pileup line without six fields: "), F.col("value")))
+        F.raise_error(F.concat(F.lit("pileup line without six fields: "), F.array_join("f", " ")))
     )
     g = F.col("g")
-    return kept.withColumn("g", fields).select(
+    return cut.withColumn("g", fields).select(
         "taxon",
         g[0].alias("contig"),
         g[1].cast("bigint").alias("pos"),
@@ -35,7 +39,7 @@ def parse_pileup(lines: DataFrame) -> DataFrame:
 def read_pileups(spark: SparkSession, root: str) -> DataFrame:
     """All ``<taxon>/<taxon>.pileups`` files below ``root``."""
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pileups").text(root)
-    return parse_pileup(lines.select(parent_folder(F.col("_metadata.file_path")).alias("taxon"), "value"))
+    return parse_pileup(spread(lines.select(parent_folder(F.col("_metadata.file_path")).alias("taxon"), "value")))
 
 
 def taxa_with_many_pileups(files: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def taxa_with_many_pileups(files: DataFrame) -> DataFrame:
 def read_map_data(spark: SparkSession, path: str) -> DataFrame:
     if not path.rstrip("/").endswith("_MapData.tsv"):
         raise ValueError("a genome map must be named <genome>_MapData.tsv")
-    return spark.read.schema(MAP_DATA).csv(path, sep="\t", mode="FAILFAST")
+    return spread(spark.read.schema(MAP_DATA).csv(path, sep="\t", mode="FAILFAST"))
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
