@@ -11,9 +11,8 @@ RUNS = "array<struct<genome:bigint,contig:bigint,size:bigint>>"
 def with_segments(df: DataFrame, cigar: str = "cigar") -> DataFrame:
     """Add ``segs``, the segments of a CIGAR column."""
     cut = df.withColumns({"_sizes": F.split(cigar, r"\D"), "_ops": F.split(cigar, r"\d+")})
-    n = F.size("_sizes") - 1
-    zipped = F.arrays_zip(F.slice("_sizes", F.lit(1), n).cast("array<bigint>"), F.slice("_ops", F.lit(2), n))
-    return cut.withColumn("segs", zipped.cast("array<struct<size:bigint,op:string>>")).drop("_sizes", "_ops")
+    pair = lambda op, i: F.struct(F.get("_sizes", i).cast("bigint").alias("size"), op.alias("op"))
+    return cut.withColumn("segs", F.transform(F.expr("slice(_ops, 2, size(_ops) - 1)"), pair)).drop("_sizes", "_ops")
 
 
 def query_length(segs: Column | str = "segs") -> Column:

@@ -17,11 +17,15 @@ SPAN = 4096
 
 def explode_range(df: DataFrame, low: Column, high: Column, name: str, span: int = SPAN) -> DataFrame:
     """One row per integer of ``[low, high]``, in two steps of bounded arrays."""
-    starts = df.withColumn("_low", low.cast("bigint")).withColumn("_high", high.cast("bigint"))
-    starts = starts.filter(F.col("_low") <= F.col("_high"))
-    starts = starts.withColumn("_block", F.explode(F.sequence("_low", "_high", F.lit(span).cast("bigint"))))
+    bounds = df.withColumn("_low", low.cast("bigint")).withColumn("_high", high.cast("bigint"))
+    bounds = bounds.filter(F.col("_low") <= F.col("_high"))
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_high - _low) div {span}"))
+    # never empty after the filter above; the outer form keeps the planner from adding a
+    # second evaluation of the arrays as a filter on the input
+    starts = bounds.withColumn("_block", F.explode_outer(blocks))
+    starts = starts.withColumn("_block", F.col("_low") + F.col("_block") * span)
     last = F.least(F.col("_block") + (span - 1), F.col("_high"))
-    return starts.withColumn(name, F.explode(F.sequence("_block", last))).drop("_low", "_high", "_block")
+    return starts.withColumn(name, F.explode_outer(F.sequence("_block", last))).drop("_low", "_high", "_block")
 
 
 def contig_lengths(chunks: DataFrame) -> DataFrame:
@@ -50,7 +54,7 @@ def rechunk(chunks: DataFrame, span: int = SPAN) -> DataFrame:
     step = F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(span))
     raw = F.col("seq").cast("binary")
     return (
-        chunks.withColumn("_at", F.explode(step))
+        chunks.withColumn("_at", F.explode_outer(step))
         .withColumn("seq", F.substring(raw, F.col("_at") + 1, F.lit(span)).cast("string"))
         .withColumn("offset", (F.col("offset") + F.col("_at")).cast("bigint"))
         .drop("_at")

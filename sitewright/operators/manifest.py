@@ -27,7 +27,7 @@ def manifest_errors(rows: DataFrame, files: DataFrame | None = None) -> DataFram
     )
     found = rows.select(sid, problem.alias("problem")).filter(F.col("problem").isNotNull())
     if files is not None:
-        named = rows.select(sid, F.explode(F.array_compact(F.array(fwd, rev))).alias("path"))
+        named = rows.select(sid, F.explode_outer(F.array(fwd, rev)).alias("path")).filter("path is not null")
         absent = named.join(files.select("path"), "path", "left_anti")
         found = found.unionByName(absent.select(sid, F.concat(F.lit("read file is missing: "), "path").alias("problem")))
     return found
@@ -86,7 +86,7 @@ def pair_reads(
             F.when(F.col("single").isNotNull(), entry(F.col("single_base"), F.col("single"))),
         )
     )
-    return grouped.select("grp", F.explode(entries).alias("e")).select("e.sample_id", "grp", "e.reads")
+    return grouped.select("grp", F.explode_outer(entries).alias("e")).select("e.sample_id", "grp", "e.reads")
 
 
 def group_of(path: Column | str, root: str) -> Column:

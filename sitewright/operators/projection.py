@@ -29,7 +29,8 @@ def aligned_runs(maps: DataFrame) -> DataFrame:
     """
     placed = maps.filter(F.col("direction").isin(FORWARD, REVERSE))
     walked = C.with_segments(placed).withColumn("w", C.walk())
-    runs = walked.select("*", F.col("w.contig").alias("length"), F.explode("w.runs").alias("run"))
+    runs = walked.select("*", F.col("w.contig").alias("length"), F.explode_outer("w.runs").alias("run"))
+    runs = runs.filter(F.col("run").isNotNull())
     forward = F.col("direction") == FORWARD
     return runs.select(
         "contig",

@@ -24,7 +24,7 @@ def context_lines(lines: DataFrame, mark: str = MARK, after: int = AFTER, upto:
     """
     wanted = (
         lines.filter(F.contains("line", F.lit(mark)))
-        .select("taxon", F.explode(F.sequence(F.col("line_no"), F.col("line_no") + after)).alias("line_no"))
+        .select("taxon", F.explode_outer(F.sequence(F.col("line_no"), F.col("line_no") + after)).alias("line_no"))
         .distinct()
     )
     per_taxon = W.partitionBy("taxon").orderBy("line_no")
@@ -39,7 +39,7 @@ def context_lines(lines: DataFrame, mark: str = MARK, after: int = AFTER, upto:
     )
     text = F.struct("at", "line")
     rule = F.struct((F.col("at") - 1).alias("at"), F.lit("--").alias("line"))
-    rows = placed.select("taxon", F.explode(F.when(F.col("new") == 1, F.array(rule, text)).otherwise(F.array(text))).alias("r"))
+    rows = placed.select("taxon", F.explode_outer(F.when(F.col("new") == 1, F.array(rule, text)).otherwise(F.array(text))).alias("r"))
     return rows.select("taxon", F.col("r.at").cast("int").alias("at"), F.col("r.line").alias("line")).filter(F.col("at") <= upto)
 
 

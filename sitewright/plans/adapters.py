@@ -214,4 +214,4 @@ def isolate_contigs(spark, sf_dir) -> DataFrame:
 def log_lines(spark, sf_dir) -> DataFrame:
     """Log lines ``(taxon, line_no, line)``: the lines of each document."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.concat(F.lit("d"), "doc_id").alias("taxon"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return d.select(F.concat(F.lit("d"), "doc_id").alias("taxon"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))

@@ -233,7 +233,7 @@ def mapped_alignments(spark, sf_dir):
 @query
 def cigar_segments(spark, sf_dir):
     maps = C.with_segments(X.map_rows(spark, sf_dir))
-    return maps.select("contig", "cigar", F.posexplode("segs").alias("segment", "s")).select(
+    return maps.select("contig", "cigar", F.posexplode_outer("segs").alias("segment", "s")).select(
         "contig", "cigar", "segment", "s.size", "s.op"
     )
 

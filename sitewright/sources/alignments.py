@@ -78,7 +78,7 @@ def sequence_columns(sequences: DataFrame, n_taxa: int, block: int = BLOCK) -> D
     )
     width = F.length(F.get("rows", F.lit(0))["seq"])
     column = F.array_join(F.transform("letters", lambda letters: F.get(letters, F.col("i"))), "")
-    return checked.withColumn("i", F.explode(F.sequence(F.lit(0), width - 1))).select(
+    return checked.withColumn("i", F.explode_outer(F.sequence(F.lit(0), width - 1))).select(
         (F.col("offset") + F.col("i")).alias("site_ord"), column.alias("column")
     )
 

@@ -69,7 +69,8 @@ def parse_triangle(lines: DataFrame, trim_name: str = "") -> tuple[DataFrame, Da
     isolates = rows.select(
         "id", F.col("t")[0].alias("path"), F.col("id").alias("ord"), isolate_id(F.col("t")[0], trim_name).alias("isolate")
     )
-    tokens = rows.select("id", F.posexplode(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))).alias("other", "d"))
+    tokens = rows.select("id", F.posexplode_outer(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))).alias("other", "d"))
+    tokens = tokens.filter(F.col("d").isNotNull())
     edges = tokens.select(
         F.col("id").alias("id_a"), F.col("other").cast("bigint").alias("id_b"), F.col("d").cast("double").alias("dist")
     )
