@@ -48,6 +48,12 @@ def has_two_kinds(symbols: Column | str, alphabet: str) -> Column:
     return symbols.rlike(rf"^[{other}]*([{alphabet}]).*(?!\1)[{alphabet}]")
 
 
+def letter(symbols: Column | str, at: Column) -> Column:
+    """Character at a 1-based place of an ASCII string, without walking to it."""
+    symbols = F.col(symbols) if isinstance(symbols, str) else symbols
+    return F.substring(symbols.cast("binary"), at, F.lit(1)).cast("string")
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Percentage with two decimals, as text."""
     return F.format_string("%.2f", F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0)))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions.pileup import occurrences
-from sitewright.functions.text import has_two_kinds, locus_name, percent, recode_gaps, valid_symbols
+from sitewright.functions.text import has_two_kinds, letter, locus_name, percent, recode_gaps, valid_symbols
 from sitewright.schema import ANALYTIC_SYMBOLS, CALLED_SYMBOLS, MISSING, locus_keys
 
 COUNTS = {s: f"n_{'gap' if s == '-' else s.lower()}" for s in CALLED_SYMBOLS}
@@ -36,13 +36,20 @@ def site_columns(calls: DataFrame, taxa: Sequence) -> DataFrame:
     are taxa.
     """
     keys = locus_keys(calls)
-    present = calls.filter(F.col("base") != MISSING)
+    slots = calls.sparkSession.createDataFrame([(t, i) for i, t in enumerate(taxa)], "taxon string, slot int")
+    present = calls.filter(F.col("base") != MISSING).join(slots, "taxon")
     per_site = present.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("taxon", "base"))).alias("by_taxon"),
+        F.sort_array(F.collect_list(F.struct("slot", "base"))).alias("seen"),
         *[F.sum(F.when(F.col("base") == s, 1).otherwise(0)).cast("int").alias(c) for s, c in COUNTS.items()],
     )
-    letters = [F.coalesce(F.try_element_at("by_taxon", F.lit(t)), F.lit(MISSING)) for t in taxa]
-    return per_site.select(*keys, F.concat(*letters).alias("column"), *COUNTS.values())
+
+    def with_gap(entry: Column, i: Column) -> Column:
+        skipped = entry["slot"] - F.coalesce(F.get("seen", i - 1)["slot"], F.lit(-1)) - 1
+        again = F.raise_error(F.lit("two calls of one taxon at one site"))
+        return F.when(skipped < 0, again).otherwise(F.concat(F.repeat(F.lit(MISSING), skipped), entry["base"]))
+
+    column = F.rpad(F.array_join(F.transform("seen", with_gap), ""), len(taxa), MISSING)
+    return per_site.select(*keys, column.alias("column"), *COUNTS.values())
 
 
 def with_counts(sites: DataFrame) -> DataFrame:
@@ -162,7 +169,7 @@ def to_calls(sites: DataFrame, taxa: Sequence) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(t).alias("taxon"), F.lit(i + 1).alias("at")) for i, t in enumerate(taxa)])
     keys = locus_keys(sites)
     return sites.withColumn("t", F.explode(pairs)).select(
-        F.col("t.taxon"), *keys, F.substring(F.col("column"), F.col("t.at"), F.lit(1)).alias("base")
+        F.col("t.taxon"), *keys, letter("column", F.col("t.at")).alias("base")
     )
 
 
@@ -176,6 +183,6 @@ def taxon_blocks(sites: DataFrame, taxa: Sequence, order: Sequence[str], block:
     grouped = sites.withColumn("block", block).groupBy("block").agg(F.sort_array(F.collect_list(member)).alias("members"))
     slots = F.array(*[F.struct(F.lit(i).alias("taxon_ord"), F.lit(t).alias("taxon")) for i, t in enumerate(taxa)])
     piece = F.array_join(
-        F.transform("members", lambda m: F.substring(m["symbols"], F.col("t.taxon_ord") + 1, F.lit(1))), ""
+        F.transform("members", lambda m: letter(m["symbols"], F.col("t.taxon_ord") + 1)), ""
     )
     return grouped.withColumn("t", F.explode(slots)).select("t.taxon_ord", "t.taxon", "block", piece.alias("seq"))

@@ -92,7 +92,7 @@ def classify_samples(sites: DataFrame, taxa: Sequence[str], references: Sequence
     """Per sample: sites matching one reference only, several, or none.
 
     Only sites where the sample and every reference are called count. Each site yields
-    one short row per sample inside the task and is summed there before the shuffle.
+    one short row per taxon inside the task and is summed there before the shuffle.
     """
     taxa = [str(t) for t in taxa]
     references = sorted(str(r) for r in references)
@@ -102,27 +102,25 @@ def classify_samples(sites: DataFrame, taxa: Sequence[str], references: Sequence
     samples = [t for t in taxa if t not in references]
     panel = F.concat(*[F.substring("column", taxa.index(r) + 1, 1) for r in references])
     known = f"^[{ANALYTIC_SYMBOLS}]+$"
-    slots = F.array(*[F.struct(F.lit(s).alias("Sample_ID"), F.lit(taxa.index(s) + 1).alias("at")) for s in samples])
     base, refs = F.col("base"), F.col("panel")
     matches = F.length(refs) - F.length(F.replace(refs, base, F.lit("")))
     outcome = F.when(matches == 0, F.lit(0)).when(matches == 1, F.instr(refs, base)).otherwise(F.lit(-1))
     counted = (
         sites.select("column", panel.alias("panel"))
         .filter(refs.rlike(known))
-        .withColumn("s", F.explode(slots))
-        .select("s.Sample_ID", "panel", F.substring(F.col("column"), F.col("s.at"), F.lit(1)).alias("base"))
+        .select("panel", F.posexplode_outer(F.split("column", "")).alias("at", "base"))
         .filter(base.rlike(known))
-        .groupBy("Sample_ID", outcome.alias("outcome"))
+        .groupBy("at", outcome.alias("outcome"))
         .agg(F.count("*").alias("n"))
     )
-    roster = sites.sparkSession.createDataFrame([(s,) for s in samples], "Sample_ID string")
+    roster = sites.sparkSession.createDataFrame([(s, taxa.index(s)) for s in samples], "Sample_ID string, at int")
 
     def total(cond):
         return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
 
     o = F.col("outcome")
     return (
-        roster.join(counted, "Sample_ID", "left")
+        roster.join(counted, "at", "left")
         .groupBy("Sample_ID")
         .agg(
             *[total(o == k + 1).alias(f"Count_{r}") for k, r in enumerate(references)],

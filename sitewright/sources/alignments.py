@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sitewright.operators.genome import rechunk
 from sitewright.schema import ALIGNMENT_FORMATS
-from sitewright.sources.lines import read_records
+from sitewright.sources.lines import read_ordered, read_records
 from sitewright.sources.sequences import parse_fasta
 
 BLOCK = 1024
@@ -53,7 +53,7 @@ def read_sequences(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """Aligned sequences ``(taxon, line_no, seq)`` and, for NEXUS, the loci."""
     kind = alignment_format(path)
     if kind == "fasta":
-        records = parse_fasta(read_records(spark, path, line_sep="\n>"))
+        records = parse_fasta(read_ordered(spark, path, line_sep="\n>"))
         return records.select(F.col("contig_ord").alias("line_no"), F.col("contig").alias("taxon"), "seq"), None
     lines = read_records(spark, path)
     return parse_nexus(lines) if kind == "nexus" else (parse_phylip(lines), None)

@@ -6,27 +6,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sitewright.session import materialise
 
-def read_records(spark: SparkSession, path, line_sep: str | None = None, glob: str | None = None) -> DataFrame:
-    """Lines as ``(file, line_no, value)``, numbered from 0 in file order.
 
-    Each input split is numbered on its own; the number of records before a split comes
-    from a table with one row per split. Nothing is sorted or gathered.
-    """
+SPLITS_TO_BROADCAST = 500_000
+
+
+def _raw(spark: SparkSession, path, line_sep: str | None, glob: str | None) -> DataFrame:
     reader = spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-    raw = reader.text(path).select(
+    return reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("mid"),
         "value",
     )
+
+
+def read_ordered(spark: SparkSession, path, line_sep: str | None = None, glob: str | None = None) -> DataFrame:
+    """Records as ``(file, line_no, value)`` with rising but not dense numbers: no join.
+
+    A number is the byte at which the split begins plus the record's place in its task.
+    A task holds fewer records than bytes, so numbers of later splits are higher.
+    """
+    place = F.col("mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return _raw(spark, path, line_sep, glob).select("file", (F.col("block") + place).alias("line_no"), "value")
+
+
+def read_records(spark: SparkSession, path, line_sep: str | None = None, glob: str | None = None) -> DataFrame:
+    """Lines as ``(file, line_no, value)``, numbered from 0 in file order.
+
+    Each input split is numbered on its own; the number of records before a split comes
+    from a table with one row per split, broadcast while it is short. Nothing is sorted or
+    gathered.
+    """
+    raw = _raw(spark, path, line_sep, glob)
     splits = raw.groupBy("file", "block").agg(F.min("mid").alias("first"), F.count("*").alias("n"))
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     offsets = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    offsets = materialise(offsets)
+    if offsets.count() <= SPLITS_TO_BROADCAST:
+        offsets = F.broadcast(offsets)
     return raw.join(offsets, ["file", "block"]).select(
         "file", (F.col("mid") - F.col("first") + F.col("before")).alias("line_no"), "value"
     )

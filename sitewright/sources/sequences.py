@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.operators.genome import SPAN, rechunk
-from sitewright.sources.lines import read_records
+from sitewright.sources.lines import read_ordered, read_records
 
 
 def parse_fasta(records: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def parse_fasta(records: DataFrame) -> DataFrame:
 
 def read_fasta(spark: SparkSession, path, glob: str | None = None, span: int = SPAN) -> DataFrame:
     """Sequences as chunks ``(file, contig_ord, contig, offset, seq)`` of bounded size."""
-    whole = parse_fasta(read_records(spark, path, line_sep="\n>", glob=glob))
+    whole = parse_fasta(read_ordered(spark, path, line_sep="\n>", glob=glob))
     return rechunk(whole.withColumn("offset", F.lit(0).cast("bigint")), span)
 
 
