@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sitewright.functions.pileup import occurrences
 from sitewright.functions.text import has_two_kinds, letter, locus_name, percent, recode_gaps, valid_symbols
 from sitewright.schema import ANALYTIC_SYMBOLS, CALLED_SYMBOLS, MISSING, locus_keys
+from sitewright.session import local_table
 
 COUNTS = {s: f"n_{'gap' if s == '-' else s.lower()}" for s in CALLED_SYMBOLS}
 # The five output alignments and the sites each one keeps.
@@ -36,7 +37,7 @@ def site_columns(calls: DataFrame, taxa: Sequence) -> DataFrame:
     are taxa.
     """
     keys = locus_keys(calls)
-    slots = calls.sparkSession.createDataFrame([(t, i) for i, t in enumerate(taxa)], "taxon string, slot int")
+    slots = local_table(calls.sparkSession, [(t, i) for i, t in enumerate(taxa)], "taxon string, slot int")
     present = calls.filter(F.col("base") != MISSING).join(slots, "taxon")
     per_site = present.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("slot", "base"))).alias("seen"),

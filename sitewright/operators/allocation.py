@@ -26,7 +26,7 @@ def group_depths(stats: DataFrame, genome_size: int, coverage: float) -> DataFra
     per_group = stats.groupBy("grp").agg(
         F.sum("base_count").cast("bigint").alias("group_bases"), F.count("*").cast("bigint").alias("group_samples")
     )
-    n_groups = stats.agg(F.count_distinct("grp")).scalar()
+    n_groups = per_group.agg(F.count("*")).scalar()
     depth = F.floor(F.lit(float(coverage) * genome_size) / n_groups).cast("bigint")
     return per_group.withColumn("depth", depth).withColumn("takes_all", F.col("group_bases") < F.col("depth"))
 
@@ -37,7 +37,8 @@ def allocate(stats: DataFrame, genome_size: int, coverage: float = 10.0) -> Data
     A group below its depth gives everything. Otherwise samples below an equal share
     are taken whole and the rest split what is left, once, rounded down. Groups are
     summed with map-side partials and joined back; AQE broadcasts the group table when
-    its measured size is small and splits a hot group when it is not.
+    its measured size is small and splits a hot group when it is not. ``stats`` (a row per
+    sample) is read several times: pass a stored table, not a count still to be made.
     """
     depths = group_depths(stats, genome_size, coverage)
     marked = stats.join(depths, "grp").withColumn("low", F.col("base_count") < F.col("depth") / F.col("group_samples"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions import pileup as P
@@ -87,31 +87,26 @@ def call_vectors(sites: DataFrame, calls: DataFrame, taxa: Sequence) -> DataFram
     )
 
 
-def call_quality(sites: DataFrame, calls: DataFrame) -> DataFrame:
-    """Positions, called sites and the reasons for each ``N``, per taxon.
+def _quality(calls: DataFrame, n_sites: Column) -> DataFrame:
+    """Figures per taxon from calls marked ``known`` when they lie in the universe.
 
     Positions are the site universe plus evidence outside it, so the site by taxon
     product is never formed.
     """
-    universe = sites.select(*LOCUS).distinct().withColumn("known", F.lit(1))
-    n_sites = universe.agg(F.count("*")).scalar()
-    seen = calls.join(universe, LOCUS, "left")
 
     def tally(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
-    qc = seen.groupBy("taxon").agg(
+    qc = calls.groupBy("taxon").agg(
         tally(F.col("base") != MISSING).alias("called"),
         tally(F.col("known").isNull()).alias("outside"),
         tally(F.col("penalty") == "thresh").alias("lost_threshold"),
         tally(F.col("penalty") == "min").alias("lost_coverage"),
         tally(F.col("penalty") == "both").alias("lost_both"),
     )
-    positions = (n_sites + F.col("outside")).cast("bigint")
-    missing = F.col("positions") - F.col("called")
     return (
-        qc.withColumn("positions", positions)
-        .withColumn("n_calls", missing)
+        qc.withColumn("positions", (n_sites + F.col("outside")).cast("bigint"))
+        .withColumn("n_calls", F.col("positions") - F.col("called"))
         .withColumn("no_data", F.col("n_calls") - F.col("lost_threshold") - F.col("lost_coverage") - F.col("lost_both"))
         .withColumn("called_percent", percent(F.col("called"), F.col("positions")))
         .withColumn("n_percent", percent(F.col("n_calls"), F.col("positions")))
@@ -119,6 +114,24 @@ def call_quality(sites: DataFrame, calls: DataFrame) -> DataFrame:
     )
 
 
+def call_quality(sites: DataFrame, calls: DataFrame) -> DataFrame:
+    """Positions, called sites and the reasons for each ``N``, per taxon."""
+    universe = sites.select(*LOCUS).withColumn("known", F.lit(1))
+    return _quality(calls.join(universe, LOCUS, "left"), sites.agg(F.count("*")).scalar())
+
+
+def contig_quality(lengths: DataFrame, calls: DataFrame) -> DataFrame:
+    """The same figures when the universe is every base of the contigs.
+
+    The table of contig lengths stands in for the sites, so the calls are not shuffled
+    against them.
+    """
+    spans = lengths.select("contig", F.col("length").alias("_length"))
+    known = F.when(F.col("pos").between(1, F.col("_length")), F.lit(1))
+    marked = calls.join(spans, "contig", "left").withColumn("known", known)
+    return _quality(marked, lengths.agg(F.sum("length")).scalar())
+
+
 def quality_lines(qc: DataFrame) -> DataFrame:
     """The two report lines of each taxon, as ``(taxon, line_no, line)``."""
     first = F.format_string(

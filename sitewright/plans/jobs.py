@@ -44,7 +44,7 @@ def prepare_reads(
     files = manifest.select(F.explode("reads").alias("path"))
     paths = [r["path"] for r in files.toLocalIterator()]
     records = sequences.reads_of_samples(manifest, sequences.read_fastq(spark, paths))
-    stats = B.join_statistics(manifest, B.read_statistics(records))
+    stats = _stored(B.join_statistics(manifest, B.read_statistics(records)), f"{out}/read_statistics")
     scheme = _stored(B.allocate(stats, genome_size, coverage), f"{out}/subset_scheme")
     DOC.write_table(scheme, f"{out}/subset_scheme_csv", sep=",")
     DOC.write_lines(B.allocation_log(stats, genome_size, coverage), ["line_no", "line"], f"{out}/subset_log")
@@ -99,8 +99,7 @@ def call_taxa(spark, pileups: str, pangenome: str, out: str, minread: int, thres
         raise ValueError(f"more than one pileup file: {[r['taxon'] for r in many]}")
     rows = evidence.read_pileups(spark, pileups)
     calls = _stored(CA.calls_from_pileup(rows, minread, thresh), f"{out}/calls", partitionBy="taxon")
-    sites = G.enumerate_sites(spark.read.parquet(f"{pangenome}/lengths"))
-    qc = materialise(CA.call_quality(sites, calls))
+    qc = materialise(CA.contig_quality(spark.read.parquet(f"{pangenome}/lengths"), calls))
     DOC.write_table(qc, f"{out}/call_quality")
     DOC.write_lines(CA.quality_lines(qc), ["taxon", "line_no"], f"{out}/call_log")
     failed = [r["taxon"] for r in CA.taxa_without_calls(qc).collect()]

@@ -101,6 +101,7 @@ qc AS (
          printf('%.2f', COUNT(*) FILTER (base = 'N') / COUNT(*) * 100) AS n_percent
   FROM vectors GROUP BY taxon)"""
 SQL["call_quality"] = _with(_QC, "SELECT * FROM qc")
+SQL["contig_quality"] = SQL["call_quality"]
 SQL["quality_lines"] = _with(
     _QC,
     """SELECT taxon, CAST(0 AS INT) AS line_no, 'Of ' || positions || ' positions, ' || taxon || ' has good calls for ' || called ||

@@ -102,6 +102,11 @@ def call_quality(spark, sf_dir):
     return CA.call_quality(X.sites(spark, sf_dir), _calls(spark, sf_dir))
 
 
+@query
+def contig_quality(spark, sf_dir):
+    return CA.contig_quality(G.contig_lengths(X.composite(spark, sf_dir)), _calls(spark, sf_dir))
+
+
 @query
 def quality_lines(spark, sf_dir):
     return CA.quality_lines(CA.call_quality(X.sites(spark, sf_dir), _calls(spark, sf_dir)))
@@ -327,17 +332,17 @@ def sample_statistics(spark, sf_dir):
 
 @query
 def group_depths(spark, sf_dir):
-    return B.group_depths(_stats(spark, sf_dir), GENOME_SIZE, COVERAGE)
+    return B.group_depths(materialise(_stats(spark, sf_dir)), GENOME_SIZE, COVERAGE)
 
 
 @query
 def budget_allocation(spark, sf_dir):
-    return B.allocate(_stats(spark, sf_dir), GENOME_SIZE, COVERAGE)
+    return B.allocate(materialise(_stats(spark, sf_dir)), GENOME_SIZE, COVERAGE)
 
 
 @query
 def allocation_log(spark, sf_dir):
-    return B.allocation_log(_stats(spark, sf_dir), GENOME_SIZE, COVERAGE)
+    return B.allocation_log(materialise(_stats(spark, sf_dir)), GENOME_SIZE, COVERAGE)
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sitewright") -> SparkSession:
@@ -37,6 +38,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+ROWS_TO_BROADCAST = 200_000
+
+
+def local_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """Short driver-side list as a table; broadcast in joins while it is short.
+
+    The planner knows no size for such a table and would otherwise broadcast or shuffle
+    the large side.
+    """
+    made = spark.createDataFrame(rows, schema)
+    return F.broadcast(made) if len(rows) <= ROWS_TO_BROADCAST else made
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Share the rows of an input with fewer splits than cores among all cores.
 
