@@ -42,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
         "call", jobs.call_taxa, ("--pileups", need), ("--pangenome", need), out, ("--minread", number),
         ("--thresh", {"type": float, "required": True}),
     )
+    command("call-vectors", jobs.write_call_vectors, ("--calls-path", need), ("--pangenome", need), out)
     command("taxon-genomes", jobs.taxon_genomes, ("--pileups", need), ("--pangenome", need), out)
     command(
         "align", jobs.build_alignment, ("--calls-path", need), ("--pangenome", need), out,

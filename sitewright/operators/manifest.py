@@ -17,13 +17,24 @@ def drop_header(rows: DataFrame) -> DataFrame:
     return rows.filter(F.coalesce(F.col("sample_id") != "Sample_ID", F.lit(True)))
 
 
-def manifest_errors(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """Problems as ``(sample_id, problem)``. ``files`` (one ``path`` per row) checks existence."""
+def absolute_paths(rows: DataFrame, base: str) -> DataFrame:
+    """Read paths without a leading slash or scheme, taken from ``base``."""
+    for end in ("forward", "reverse"):
+        path = F.col(end)
+        rows = rows.withColumn(end, F.when(path.rlike(r"^(/|\w+:)"), path).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), path)))
+    return rows
+
+
+def manifest_errors(rows: DataFrame, files: DataFrame | None = None, reverse_only: bool = False) -> DataFrame:
+    """Problems as ``(sample_id, problem)``. ``files`` (one ``path`` per row) checks existence.
+
+    ``reverse_only`` admits rows that name a reverse read alone, as flat listings do.
+    """
     sid, fwd, rev = F.col("sample_id"), F.col("forward"), F.col("reverse")
     problem = (
         F.when(sid.isNull(), "sample id is empty")
         .when(fwd.isNull() & rev.isNull(), "both reads are empty")
-        .when(fwd.isNull(), "reverse read without forward read")
+        .when(fwd.isNull() & F.lit(not reverse_only), "reverse read without forward read")
     )
     found = rows.select(sid, problem.alias("problem")).filter(F.col("problem").isNotNull())
     if files is not None:

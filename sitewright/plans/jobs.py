@@ -92,6 +92,34 @@ def fetch_pangenome(spark, path: str = "", ref_path: str = "", name: str = "", r
     raise ValueError("no pangenome information provided")
 
 
+def pangenome(spark, out: str, reads: str = "", ref_path: str = "", name: str = "pangenome", **options) -> tuple[str, str]:
+    """Build a pangenome when reads are given, else fetch one.
+
+    Assembly happens outside, so reads need the contigs in ``ref_path`` as well.
+    """
+    if reads and not ref_path:
+        raise ValueError("a reference path is required with reads")
+    if not os.path.isdir(out):
+        if not os.path.isdir(os.path.dirname(os.path.abspath(out))):
+            raise FileNotFoundError(os.path.dirname(os.path.abspath(out)))
+        os.makedirs(out)
+    if not reads:
+        return fetch_pangenome(spark, ref_path=ref_path, name=name, root=out)
+    prepare_reads(spark, reads, f"{out}/prep_{name}", **options)
+    return process_pangenome(spark, ref_path, f"{out}/{name}")
+
+
+def write_call_vectors(spark, calls_path: str, pangenome: str, out: str) -> None:
+    """One list per taxon: the base of every site, in site order."""
+    calls = spark.read.parquet(calls_path)
+    taxa = AL.taxa_of(calls)
+    sites = G.enumerate_sites(spark.read.parquet(f"{pangenome}/lengths"))
+    vectors = _stored(CA.call_vectors(sites, calls, taxa), f"{out}/vectors", mode="overwrite", partitionBy="taxon")
+    for taxon in taxa:
+        one = vectors.filter(F.col("taxon") == taxon)
+        DOC.write_lines(one, ["contig_ord", "pos"], f"{out}/{taxon}_LocList", column="base")
+
+
 def call_taxa(spark, pileups: str, pangenome: str, out: str, minread: int, thresh: float) -> DataFrame:
     """Calls and quality of every taxon below ``pileups``."""
     many = evidence.taxa_with_many_pileups(lines.list_files(spark, pileups, ".pileups")).limit(5).collect()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sitewright.functions.text import locus_name
 from sitewright.operators.alignment import taxon_blocks
+from sitewright.schema import SAMPLE_SHEET_HEADER
 from sitewright.sinks.pieces import write_pieces
 
 BLOCK = 4096
@@ -117,6 +118,11 @@ def write_table(df: DataFrame, path: str, sep: str = "\t", header: bool = True,
     flat.write.mode(mode).csv(path, sep=sep, header=header)
 
 
+def sample_sheet() -> str:
+    """Empty sample sheet: the header a user fills in below."""
+    return "\t".join(SAMPLE_SHEET_HEADER) + "\n"
+
+
 def partition_document(folder: str, dataset: str) -> str:
     """NEXUS partition file for the gapless DNA part and the recoded gap part."""
     dna, gaps = (f"{folder}/{dataset}_{part}.phylip-relaxed" for part in ("NoGaps", "RecodedGaps"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from sitewright.sources.lines import list_files
 
 
 def read_manifest_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows of a four-column manifest; other widths are an error."""
-    return M.drop_header(spark.read.schema(MANIFEST).csv(path, header=False, mode="FAILFAST"))
+    """Rows of a four-column manifest with absolute paths; other widths are an error."""
+    rows = M.drop_header(spark.read.schema(MANIFEST).csv(path, header=False, mode="FAILFAST"))
+    return M.absolute_paths(rows, os.getcwd())
 
 
 def manifest_from_csv(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sitewright.__main__ import main
 from sitewright.operators import manifest as M
 from sitewright.plans import jobs
 from sitewright.sinks import documents as DOC
@@ -208,6 +209,38 @@ def test_alignment_files(spark, run):
     assert "Of 5 positions, t3 has good calls for 3 sites (60.00%). There were 2 N calls (40.00%)." in log
 
 
+def test_call_vectors(spark, run):
+    main(["call-vectors", "--calls-path", str(run / "calls" / "calls"), "--pangenome", str(run / "pan"), "--out", str(run / "v")])
+    got = {t: read(join_parts(str(run / "v" / f"{t}_LocList"), str(run / "t"))).split() for t in PILEUPS}
+    assert got == {"t1": list("ATNGG"), "t2": list("ATNA-"), "t3": list("CCNGN"), "t4": list("CCNAN")}
+
+
+def test_pangenome_dispatch(spark, run, tmp_path):
+    out = str(tmp_path / "all")
+    with pytest.raises(ValueError):
+        jobs.pangenome(spark, out, reads="x")
+    with pytest.raises(FileNotFoundError):
+        jobs.pangenome(spark, str(tmp_path / "no" / "where"), ref_path=str(run / "in.fa"))
+    made = jobs.pangenome(spark, out, ref_path=str(run / "in.fa"), name="p")
+    assert made == ("p", f"{out}/p") == jobs.pangenome(spark, out, name="p")
+
+
+def test_read_stats_and_lists(spark, tmp_path):
+    path = put(tmp_path / "s.csv", "Sample_ID,Pangenome_Group,Read_Location,Read_Count,Base_Count\na,g,/x;/y,2,300\n")
+    assert tuple(evidence.read_stats(spark, path).first()) == ("a", "g", "/x;/y", 2, 300)
+    loci = lines.read_list(spark, put(tmp_path / "l.txt", "c/1\nc/2\n"))
+    assert sorted(map(tuple, loci.collect())) == [(0, "c/1"), (1, "c/2")]
+    assert DOC.sample_sheet() == "Sample_ID\tGroup\tForward\tReverse\n"
+
+
+def test_relative_and_reverse_only_rows(spark):
+    rows = spark.createDataFrame([("a", None, None, "x.fq"), ("b", None, "s3://k/y.fq", None)], "sample_id string, grp string, forward string, reverse string")
+    assert [r["sample_id"] for r in M.manifest_errors(rows).collect()] == ["a"]
+    assert M.manifest_errors(rows, reverse_only=True).isEmpty()
+    got = M.absolute_paths(rows, "/base").orderBy("sample_id").collect()
+    assert (got[0]["reverse"], got[0]["forward"], got[1]["forward"]) == ("/base/x.fq", None, "s3://k/y.fq")
+
+
 def test_taxon_genomes(spark, run):
     jobs.taxon_genomes(spark, str(run / "taxa"), str(run / "pan"), str(run / "gen"))
     got = {t: read(join_parts(str(run / "gen" / t / "contigs.fa"), str(run / "t"))) for t in ("t1", "t2")}
