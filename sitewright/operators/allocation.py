@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKET_DIGITS = 4
+from sitewright.session import ROWS_TO_BROADCAST, materialise
+
+BUCKET_DIGITS = 3
 
 
 def read_statistics(reads: DataFrame) -> DataFrame:
@@ -71,8 +73,18 @@ def allocation_log(stats: DataFrame, genome_size: int, coverage: float) -> DataF
     return head.unionByName(short)
 
 
-def _bucket(rank: Column, digits: int) -> Column:
-    return F.substring(rank, 1, digits)
+def _cuts(ranked: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per sample the hash bucket in which the target is crossed and the bases before it.
+
+    ``cut`` is NULL for a sample that stays within its target. One short row per sample.
+    """
+    sums = ranked.groupBy("sample_id", "_bucket").agg(F.sum("length").cast("bigint").alias("_in"))
+    upto = W.partitionBy("sample_id").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    steps = sums.withColumn("_until", F.sum("_in").over(upto)).join(targets.select("sample_id", "to_sample"), "sample_id")
+    crossing = F.struct(F.col("_bucket").alias("bucket"), (F.col("_until") - F.col("_in")).alias("before"))
+    return steps.groupBy("sample_id", "to_sample").agg(
+        F.min(F.when(F.col("_until") > F.col("to_sample"), crossing)).alias("cut")
+    )
 
 
 def subsample(reads: DataFrame, targets: DataFrame, read_key: Column, seed: str = "0", digits: int = BUCKET_DIGITS) -> DataFrame:
@@ -80,27 +92,21 @@ def subsample(reads: DataFrame, targets: DataFrame, read_key: Column, seed: str
 
     ``reads`` has ``sample_id`` and ``length``, ``targets`` has ``sample_id`` and
     ``to_sample``; ``read_key`` tells reads apart. Sums per hash bucket show which bucket
-    crosses the target; buckets before it are kept whole and only the crossing bucket
-    (one in ``16 ** digits`` of a sample) is ranked read by read. The result equals that
-    of ranking the whole sample in one window.
+    crosses the target. Reads before it are kept without a shuffle and only those in the
+    crossing bucket (one in ``16 ** digits`` of a sample) are ranked read by read. The
+    result equals that of ranking the whole sample in one window.
     """
     ranked = reads.withColumn("_key", read_key).withColumn("_rank", F.md5(F.concat(F.lit(seed), F.lit(":"), F.col("_key"))))
-    ranked = ranked.withColumn("_bucket", _bucket(F.col("_rank"), digits))
-    sums = ranked.groupBy("sample_id", "_bucket").agg(F.sum("length").cast("bigint").alias("_in"))
-    upto = W.partitionBy("sample_id").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    limits = (
-        sums.withColumn("_until", F.sum("_in").over(upto))
-        .join(targets.select("sample_id", "to_sample"), "sample_id")
-        .withColumn("_before", F.col("_until") - F.col("_in"))
-        .filter(F.col("_before") <= F.col("to_sample"))
-        .select("sample_id", "_bucket", "_before", (F.col("_until") <= F.col("to_sample")).alias("_whole"), "to_sample")
-    )
-    placed = ranked.join(limits, ["sample_id", "_bucket"])
-    whole = placed.filter("_whole")
-    inside = W.partitionBy("sample_id", "_bucket").orderBy("_rank", "_key").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = ranked.withColumn("_bucket", F.substring("_rank", 1, digits))
+    cuts = materialise(_cuts(ranked, targets))
+    if cuts.count() <= ROWS_TO_BROADCAST:
+        cuts = F.broadcast(cuts)
+    placed = ranked.join(cuts, "sample_id")
+    whole = placed.filter(F.col("cut").isNull() | (F.col("_bucket") < F.col("cut.bucket")))
+    inside = W.partitionBy("sample_id").orderBy("_rank", "_key").rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = (
-        placed.filter(~F.col("_whole"))
-        .withColumn("_sum", F.col("_before") + F.sum("length").over(inside))
+        placed.filter(F.col("_bucket") == F.col("cut.bucket"))
+        .withColumn("_sum", F.col("cut.before") + F.sum("length").over(inside))
         .filter(F.col("_sum") <= F.col("to_sample"))
     )
     return whole.select(*reads.columns).unionByName(edge.select(*reads.columns))

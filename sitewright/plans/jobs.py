@@ -22,8 +22,14 @@ from sitewright.sinks import documents as DOC
 from sitewright.sources import alignments, evidence, lines, manifests, sequences
 
 
-def _stored(df: DataFrame, path: str, mode: str = "errorifexists", **kwargs) -> DataFrame:
-    df.write.mode(mode).parquet(path, **kwargs)
+def _stored(df: DataFrame, path: str, mode: str = "errorifexists", by: str | None = None) -> DataFrame:
+    """Write a table and read it back; ``by`` makes one folder per value.
+
+    Rebalancing on that column keeps the number of files low and splits a large value.
+    """
+    if by is not None:
+        df = df.hint("rebalance", by)
+    df.write.mode(mode).parquet(path, partitionBy=by)
     return df.sparkSession.read.parquet(path)
 
 
@@ -50,7 +56,7 @@ def prepare_reads(
     DOC.write_lines(B.allocation_log(stats, genome_size, coverage), ["line_no", "line"], f"{out}/subset_log")
     lengths = records.withColumn("length", F.length("seq").cast("bigint"))
     kept = B.subsample(lengths, scheme, F.col("read_key"), seed)
-    kept.drop("length").write.partitionBy("sample_id").parquet(f"{out}/subset_reads")
+    _stored(kept.drop("length"), f"{out}/subset_reads", by="sample_id")
     return scheme
 
 
@@ -114,7 +120,7 @@ def write_call_vectors(spark, calls_path: str, pangenome: str, out: str) -> None
     calls = spark.read.parquet(calls_path)
     taxa = AL.taxa_of(calls)
     sites = G.enumerate_sites(spark.read.parquet(f"{pangenome}/lengths"))
-    vectors = _stored(CA.call_vectors(sites, calls, taxa), f"{out}/vectors", mode="overwrite", partitionBy="taxon")
+    vectors = _stored(CA.call_vectors(sites, calls, taxa), f"{out}/vectors", mode="overwrite", by="taxon")
     for taxon in taxa:
         one = vectors.filter(F.col("taxon") == taxon)
         DOC.write_lines(one, ["contig_ord", "pos"], f"{out}/{taxon}_LocList", column="base")
@@ -126,7 +132,7 @@ def call_taxa(spark, pileups: str, pangenome: str, out: str, minread: int, thres
     if many:
         raise ValueError(f"more than one pileup file: {[r['taxon'] for r in many]}")
     rows = evidence.read_pileups(spark, pileups)
-    calls = _stored(CA.calls_from_pileup(rows, minread, thresh), f"{out}/calls", partitionBy="taxon")
+    calls = _stored(CA.calls_from_pileup(rows, minread, thresh), f"{out}/calls", by="taxon")
     qc = materialise(CA.contig_quality(spark.read.parquet(f"{pangenome}/lengths"), calls))
     DOC.write_table(qc, f"{out}/call_quality")
     DOC.write_lines(CA.quality_lines(qc), ["taxon", "line_no"], f"{out}/call_log")
@@ -145,7 +151,7 @@ def taxon_genomes(spark, pileups: str, pangenome: str, out: str) -> DataFrame:
     if unknown:
         raise ValueError(f"contigs without sequence: {[r[0] for r in unknown]}")
     taxa = AL.taxa_of(consensus)
-    genomes = _stored(G.overlay(chunks, consensus, taxa), f"{out}/genomes", partitionBy="taxon")
+    genomes = _stored(G.overlay(chunks, consensus, taxa), f"{out}/genomes", by="taxon")
     for taxon in taxa:
         DOC.write_fasta(genomes.filter(F.col("taxon") == taxon), f"{out}/{taxon}/contigs.fa")
     return genomes
