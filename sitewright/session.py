@@ -29,12 +29,18 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sit
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
-    The folder comes from ``spark.checkpoint.dir``; only a session that has none
-    (a local one) gets a temporary folder.
+    The shared folder comes from ``spark.checkpoint.dir`` of the session; only a local
+    session without it gets a temporary folder.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getConf().get("spark.checkpoint.dir") is None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sitewright-checkpoint-"))
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
+            folder = tempfile.mkdtemp(prefix="sitewright-checkpoint-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
