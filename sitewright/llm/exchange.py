@@ -83,19 +83,34 @@ def asked_by(blocks: DataFrame, ask: Callable[[int, pa.Table], list[tuple]]) ->
     return blocks.groupBy("block").applyInArrow(lambda rows: as_table(ask(rows["block"][0].as_py(), rows), ASKED), ASKED)
 
 
+def at_shards(asked: DataFrame, work: Callable[[int, pa.Table], list[tuple[int, int, np.ndarray]]]) -> DataFrame:
+    """``work`` on every shard's questions, in order of kind and block; it gives (block, kind, answer)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        shard = rows["shard"][0].as_py()
+        found = work(shard, rows.sort_by([("kind", "ascending"), ("block", "ascending")]))
+        return as_table([(b, shard, k, planes(np.ascontiguousarray(x))) for b, k, x in found], ANSWERED)
+
+    return asked.groupBy("shard").applyInArrow(run, ANSWERED)
+
+
+def of_kind(rows: pa.Table, kind: int) -> tuple[list[int], list[np.ndarray], list[bytes]]:
+    """Blocks, keys and notes of the questions of one kind."""
+    part = rows.filter(pa.array(rows["kind"].to_numpy() == kind))
+    return part["block"].to_pylist(), [unpack(x) for x in part["keys"].to_pylist()], part["notes"].to_pylist()
+
+
 def answered(asked: DataFrame, answer: Callable[[int, list[np.ndarray], list[bytes]], list[np.ndarray]]) -> DataFrame:
     """Answers of every shard; ``answer`` gets the kind, each block's keys and notes, and gives an array for each block."""
 
-    def work(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("kind", "ascending"), ("block", "ascending")])
-        kinds, out = rows["kind"].to_numpy(), []
-        for kind in np.unique(kinds):
-            part = rows.filter(pa.array(kinds == kind))
-            found = answer(int(kind), [unpack(x) for x in part["keys"].to_pylist()], part["notes"].to_pylist())
-            out += [(b, s, int(kind), planes(np.ascontiguousarray(x))) for b, s, x in zip(part["block"].to_pylist(), part["shard"].to_pylist(), found)]
-        return as_table(out, ANSWERED)
+    def work(_: int, rows: pa.Table) -> list[tuple[int, int, np.ndarray]]:
+        out = []
+        for kind in np.unique(rows["kind"].to_numpy()).tolist():
+            blocks, keys, notes = of_kind(rows, kind)
+            out += [(b, kind, x) for b, x in zip(blocks, answer(kind, keys, notes))]
+        return out
 
-    return asked.groupBy("shard").applyInArrow(work, ANSWERED)
+    return at_shards(asked, work)
 
 
 def answers(rows: pa.Table, kind: int, values: type) -> np.ndarray:
