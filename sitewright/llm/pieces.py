@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count as counter
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewright.llm.common import utf8
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of segments that are indexed at once; bounds the memory of a task.
 INDEXED = 1_000_000
 #: Longer segments are merged one by one from a heap instead of in step with the others.
 IN_STEP = 48
-#: Segments of a batch that are encoded together.
-SEGMENTS = 4_000_000
+#: Letters of texts that are encoded together.
+SLICE = 4_000_000
+#: Segments whose ids a task keeps for its next slices; then it starts over.
+REMEMBERED = 500_000
 WIDTH = 16
 NEVER = np.int32(1 << 30)
 
@@ -42,6 +50,9 @@ class Model:
         letters = sorted({c for p in own for c in p})
         if len(letters) + 2 > 1 << 16 or max(map(len, own), default=0) > WIDTH:
             raise ValueError("the index takes up to 65,534 different letters and pieces of up to 16")
+        self.whole_size = np.array([len(x) for x in self.whole], np.int64)
+        self.whole_start = np.cumsum(self.whole_size) - self.whole_size
+        self.whole_bytes = np.frombuffer(b"".join(self.whole), np.uint8)
         self.letters = np.array([ord(c) for c in letters], np.uint32)
         self.single = {p: int(i) for i, p in zip(self.plain, own) if len(p) == 1}
         joined = "".join(p for p in own if len(p) > 1)
@@ -51,12 +62,9 @@ class Model:
         longer = [(i, p) for i, p in zip(self.plain, own) if len(p) > 1]
         self.long_ids = np.array([i for i, _ in longer], np.int64)
         self.long_sizes = np.array([len(p) for _, p in longer], np.int64)
-        codes = np.zeros((len(longer), WIDTH), np.uint64)
+        self.long_codes = np.zeros((len(longer), WIDTH), np.uint16)
         for n, (_, p) in enumerate(longer):
-            codes[n, : len(p)] = self.codes(p)
-        self.low = _packed(codes)
-        codes[np.arange(WIDTH) >= self.long_sizes[:, None]] = 0xFFFF
-        self.high = _packed(codes)
+            self.long_codes[n, : len(p)] = self.codes(p)
 
     def codes(self, text: str) -> np.ndarray:
         """Letters as numbers from 2 on; 1 for letters of no piece."""
@@ -65,9 +73,14 @@ class Model:
         return np.where(self.letters[at] == points, at + 2, 1).astype(np.uint16)
 
 
-def _packed(codes: np.ndarray) -> np.ndarray:
-    four = codes.reshape(len(codes), 4, 4).astype(np.uint64)
-    return four[..., 0] << np.uint64(48) | four[..., 1] << np.uint64(32) | four[..., 2] << np.uint64(16) | four[..., 3]
+def _packed(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Letters of each row as whole numbers, 64 // bits letters in one, that compare like the row."""
+    each = 64 // bits
+    parts = codes.reshape(len(codes), WIDTH // each, each).astype(np.uint64)
+    out = parts[..., 0]
+    for k in range(1, each):
+        out = out << np.uint64(bits) | parts[..., k]
+    return out
 
 
 def load(path: str = MODEL) -> Model:
@@ -91,29 +104,41 @@ class Index:
 
     def __init__(self, model: Model, codes: np.ndarray) -> None:
         n = len(codes)
-        padded = np.concatenate([codes, np.zeros(2 * WIDTH, np.uint16)]).astype(np.uint64)
-        four = padded[:-3] << np.uint64(48) | padded[1:-2] << np.uint64(32) | padded[2:-1] << np.uint64(16) | padded[3:]
-        self.suffixes = np.lexsort((four[12 : n + 12], four[8 : n + 8], four[4 : n + 4], four[:n]))
-        first = self._search(four, model.low, False)
-        last = self._search(four, model.high, True)
+        used = np.zeros(1 << 16, bool)
+        used[codes] = used[:2] = True
+        bits = 8 if used.sum() < 1 << 8 else 16
+        number = np.cumsum(used).astype(np.uint64) - np.uint64(1)
+        there = np.flatnonzero((used[model.long_codes]).all(1))
+        ids, sizes = model.long_ids[there], model.long_sizes[there]
+        low = number[model.long_codes[there]]
+        high = np.where(np.arange(WIDTH) >= sizes[:, None], np.uint64((1 << bits) - 1), low)
+        each = 64 // bits
+        padded = np.concatenate([number[codes], np.zeros(2 * WIDTH, np.uint64)])
+        runs = padded[: n + WIDTH]
+        for k in range(1, each):
+            runs = runs << np.uint64(bits) | padded[k : n + WIDTH + k]
+        keys = [runs[at : n + at] for at in range(0, WIDTH, each)]
+        self.suffixes = np.lexsort(keys[::-1])
+        first = self._search(keys, _packed(low, bits), False)
+        last = self._search(keys, _packed(high, bits), True)
         count = last - first
         ranks = np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
-        at, size = self.suffixes[ranks], np.repeat(model.long_sizes, count)
-        by_place = np.argsort(at * (WIDTH + 1) + size, kind="stable")
-        self.ids = np.repeat(model.long_ids, count)[by_place]
+        at, size = self.suffixes[ranks], np.repeat(sizes, count)
+        by_place = _by_place(at, size)
+        self.ids = np.repeat(ids, count)[by_place]
         self.start = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
         self.sizes = np.zeros(n + 1, np.uint32)
         np.bitwise_or.at(self.sizes, at, np.uint32(1) << size.astype(np.uint32))
 
-    def _search(self, four: np.ndarray, keys: np.ndarray, after: bool) -> np.ndarray:
+    def _search(self, suffix: list[np.ndarray], keys: np.ndarray, after: bool) -> np.ndarray:
         """Binary search of every key at once: first suffix not below it, or first above it."""
         low, high = np.zeros(len(keys), np.int64), np.full(len(keys), len(self.suffixes), np.int64)
         while (open_ := low < high).any():
             middle = (low + high) // 2
             at = self.suffixes[np.minimum(middle, len(self.suffixes) - 1)]
             less, same = np.zeros(len(keys), bool), np.ones(len(keys), bool)
-            for k in range(4):
-                part = four[at + 4 * k]
+            for k, runs in enumerate(suffix):
+                part = runs[at]
                 less |= same & (part < keys[:, k])
                 same &= part == keys[:, k]
             right = open_ & (less | (same if after else False))
@@ -129,6 +154,14 @@ class Index:
         return np.where(there, self.ids[np.where(there, place, 0)], -1) if len(self.ids) else np.full(len(at), -1)
 
 
+def _by_place(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Order of edges by place, then size, as a radix sort over 16 bits at a time."""
+    order = np.argsort(size.astype(np.uint8), kind="stable")
+    for shift in range(0, max(1, int(at.max(initial=0)).bit_length()), 16):
+        order = order[np.argsort((at[order] >> shift).astype(np.uint16), kind="stable")]
+    return order
+
+
 def _in_step(model: Model, index: Index, start: np.ndarray, size: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Relaxes all segments together: each round takes, in every segment, the edge that joins two neighbours and goes first."""
     done_at, done_size = [], []
@@ -238,24 +271,56 @@ def _encode_indexed(model: Model, segments: list[str], sizes: np.ndarray) -> tup
     return out, np.bincount(owner, weights=width, minlength=len(segments)).astype(np.int64)
 
 
+class Encoder:
+    """Encodes texts slice by slice; a segment met before is not encoded again."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict(counter().__next__)
+        self.ids, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        find, number, old = self.model.segments.findall, self.number, len(self.number)
+        count, code = np.zeros(len(texts), np.int64), []
+        for i, t in enumerate(texts):
+            if t:
+                own = find(SPACE + t.replace(" ", SPACE))
+                count[i] = len(own)
+                code.append(np.fromiter(map(number.__getitem__, own), np.int32, len(own)))
+        fresh = list(islice(reversed(number), len(number) - old))[::-1]
+        ids, size = encode_segments(self.model, fresh)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.ids, self.size = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.size, size])
+        all_codes = np.concatenate([np.zeros(0, np.int32), *code])
+        own, ends = self.size[all_codes], np.cumsum(count)
+        upto = np.concatenate([[0], np.cumsum(own)])
+        flat = self.ids[np.repeat(self.start[all_codes] - upto[:-1], own) + np.arange(upto[-1])]
+        return flat, upto[ends] - upto[ends - count]
+
+
 def encode_batch(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and how many each has. Equal segments are encoded once."""
-    parts = [model.segments.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    count = np.fromiter(map(len, parts), np.int64, len(parts))
-    code, distinct = pd.factorize(np.array([s for p in parts for s in p], dtype=object)) if count.sum() else (np.zeros(0, np.int64), [])
-    ids, sizes = encode_segments(model, list(distinct))
-    start = np.cumsum(sizes) - sizes
-    own = sizes[code]
-    flat = ids[np.repeat(start[code] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
-    upto = np.concatenate([[0], np.cumsum(own)])
+    return Encoder(model)(texts)
+
+
+def decode_flat(model: Model, ids: np.ndarray, count: np.ndarray) -> list[str]:
+    """Texts of ids in a row; bytes that are no UTF-8 become U+FFFD, the space put before a text goes."""
+    size = model.whole_size[ids]
+    upto = np.concatenate([[0], np.cumsum(size)])
+    data = model.whole_bytes[np.repeat(model.whole_start[ids] - upto[:-1], size) + np.arange(upto[-1])].tobytes()
     ends = np.cumsum(count)
-    return flat.astype(np.int32), upto[ends] - upto[ends - count]
+    cut = zip(upto[ends - count].tolist(), upto[ends].tolist())
+    texts = [data[a:b].decode("utf-8", "replace") for a, b in cut]
+    return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 def decode_ids(model: Model, ids: list[int]) -> str:
-    """Text of the ids; bytes that are no UTF-8 become U+FFFD, the space put before the text goes."""
-    text = b"".join(map(model.whole.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if text.startswith(" ") else text
+    return decode_flat(model, np.array(ids, np.int64), np.array([len(ids)]))[0]
 
 
 def _slices(texts: list[str | None], most: int) -> Iterator[slice]:
@@ -269,46 +334,56 @@ def _slices(texts: list[str | None], most: int) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, ids, n_ids) of every row, as the model's own library encodes the text.
-
-    Null and empty texts give no ids, a null doc_id passes through, repeated rows give a row
-    each, other columns are ignored. Letters of no piece become their UTF-8 bytes. Nothing is
-    shuffled: the vocabulary goes with the tasks, its size is the model's.
-    """
+def _encoded(docs: DataFrame, model: Model, id_col: str, text_col: str, check: bool, schema: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        encoder = Encoder(shared.value)
         for batch in batches:
             texts = batch["text"].to_pylist()
-            for part in _slices(texts, SEGMENTS):
-                ids, count = encode_batch(own, texts[part])
-                offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+            for part in _slices(texts, SLICE):
+                ids, count = encoder(texts[part])
                 rows = batch.slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_pydict({"doc_id": rows["doc_id"], "text": rows["text"], "ids": pa.ListArray.from_arrays(offsets, pa.array(ids)), "n_ids": pa.array(count)})
+                offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+                cells = {"doc_id": rows["doc_id"], "n_ids": pa.array(count), "ids": pa.ListArray.from_arrays(offsets, pa.array(ids))}
+                if check:
+                    back = decode_flat(encoder.model, ids, count)
+                    cells["decoded_sha256"] = [hashlib.sha256(utf8(t)).hexdigest() for t in back]
+                    cells["round_trip"] = [a == (b or "").replace(SPACE, " ") for a, b in zip(back, texts[part])]
+                yield pa.RecordBatch.from_pydict(cells)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return read.mapInArrow(run, "doc_id long, text string, ids array<int>, n_ids long")
+    return read.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` (doc_id, text, ids, n_ids) with the decoded text, null for null ids."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = [None if x is None else decode_ids(shared.value, x) for x in batch["ids"].to_pylist()]
-            yield batch.append_column("decoded", pa.array(text, pa.string()))
+def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_ids, ids) of every row, as the model's own library encodes the text.
 
-    return encoded.select("doc_id", "text", "ids", "n_ids").mapInArrow(run, "doc_id long, text string, ids array<int>, n_ids long, decoded string")
+    Null and empty texts give no ids, a null doc_id passes through, repeated rows give a row
+    each, other columns are ignored. Letters of no piece become their UTF-8 bytes. Nothing is
+    shuffled: the vocabulary goes with the tasks, its size is the model's.
+    """
+    return _encoded(docs, model, id_col, text_col, False, "doc_id long, n_ids long, ids array<int>")
 
 
 def round_trip(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_ids, ids, decoded_sha256, round_trip): encoded, decoded again, and whether that is the text.
 
-    A text with the mark of a space in it comes back with a space there; round_trip allows for that.
+    A text with the mark of a space in it comes back with a space there; round_trip allows for
+    that. See ``encode`` for nulls, empty texts and repeated rows.
     """
-    back = decode(encode(docs, model, id_col, text_col), model)
-    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), SPACE, " ")
-    return back.select("doc_id", "n_ids", "ids", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), same.alias("round_trip"))
+    return _encoded(docs, model, id_col, text_col, True, "doc_id long, n_ids long, ids array<int>, decoded_sha256 string, round_trip boolean")
+
+
+def decode(encoded: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, text) of every row of ``encoded`` (doc_id, ids); null for null ids, '' for none."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch["ids"]
+            count = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            text = decode_flat(shared.value, ids.flatten().to_numpy(zero_copy_only=False), count)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "text": pa.array([t if k else None for t, k in zip(text, ids.is_valid().to_pylist())], pa.string())})
+
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")

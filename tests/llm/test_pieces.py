@@ -46,6 +46,16 @@ def test_documents_and_odd_rows(spark, model, library):
     texts = {r.doc_id: r.text for r in docs.union(odd).collect()}
     assert all(r.ids == library.encode(texts[r.doc_id] or "") for r in out)
     assert pieces.round_trip(docs.where("false"), model).count() == 0
+    encoded = pieces.encode(odd, model)
+    assert {r.doc_id: r.text for r in pieces.decode(encoded, model).collect()} == {r.doc_id: (r.text or "").replace("▁", " ") for r in odd.collect()}
+    assert pieces.decode(encoded.selectExpr("doc_id", "cast(null as array<int>) AS ids"), model).where("text is not null").count() == 0
+
+
+def test_a_task_forgets_and_goes_on(model, library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    encoder = pieces.Encoder(model)
+    for text in ("one two three four", "one two five", "six", None, "one six"):
+        assert encoder([text])[0].tolist() == library.encode(text or "")
 
 
 def test_very_long_text(model, library):
