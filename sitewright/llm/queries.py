@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import chat, chunks, html_text, katz, maxscore, mixing, pieces, repeats, simhash
+from sitewright.llm import chat, chunks, html_text, katz, kneser_ney, maxscore, mixing, pieces, repeats, simhash
 from sitewright.llm.common import table
 
 #: Weights of the mixture by path: domains, then languages within each; sources of a language weigh the same.
@@ -47,6 +47,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), kneser_ney.trusted_labels(table(spark, sf_dir, "labels")))
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = maxscore.quantised(table(spark, sf_dir, "embeddings"))
     return maxscore.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -82,5 +86,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op3_exact_top_k, op4_katz_scoring, op5_suffix_array_dedup, op6_source_mixing, op7_sentencepiece, op8_chat_formatting, op9_document_fingerprints, op10_simhash_near_dedup)
+    for f in (
+        op1_html_extraction, op2_quality_classifier, op3_exact_top_k, op4_katz_scoring, op5_suffix_array_dedup,
+        op6_source_mixing, op7_sentencepiece, op8_chat_formatting, op9_document_fingerprints, op10_simhash_near_dedup,
+    )
 }
