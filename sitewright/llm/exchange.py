@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from sitewright.llm.common import partitions
 
@@ -119,11 +121,16 @@ def answers(rows: pa.Table, kind: int, values: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, values), *(from_planes(x, values) for x in part["answer"].to_pylist())])
 
 
-def join_blocks(blocks: DataFrame, replies: DataFrame, work: Callable[[int, pa.Table, pa.Table], list[tuple]], schema: str) -> DataFrame:
-    """``work`` on every block with the answers it got."""
+def join_blocks(blocks: DataFrame, replies: DataFrame, work: Callable[[int, pa.Table, pa.Table], list[tuple] | pa.Table], schema: str | StructType) -> DataFrame:
+    """``work`` on every block with the answers it got; it gives rows, or a table."""
 
     def run(rows: pa.Table, replies: pa.Table) -> pa.Table:
-        return as_table(work(rows["block"][0].as_py(), rows, replies) if rows.num_rows else [], schema)
+        if not rows.num_rows:  # answers of shards that speak to every block
+            return empty
+        out = work(rows["block"][0].as_py(), rows, replies)
+        return out if isinstance(out, pa.Table) else as_table(out, schema)
+
+    empty = to_arrow_schema(schema).empty_table() if isinstance(schema, StructType) else as_table([], schema)
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 

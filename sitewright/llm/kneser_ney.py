@@ -155,12 +155,12 @@ def fold(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.01, high: float = 0.99, slack: float = 0.4, least: int = 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.05, high: float = 0.95, slack: float = 0.8, least: int = 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Perplexity of every document and whether it is kept: within the quantiles that trusted text of its language has.
 
     The model learns from four of five folds of the trusted documents; the fifth sets the
-    bounds: the ``low`` and ``high`` quantiles of its perplexities in each language, widened by
-    ``slack`` of their value. Repetitive text falls below, noise above. Languages with fewer than
+    bounds: the ``low`` and ``high`` quantiles of its perplexities in each language, moved
+    apart by the factor 1 + ``slack``, as short texts vary more than the quantiles show. Noise lies above. Languages with fewer than
     ``least`` documents in that fold take the bounds of all languages together; without any
     document in it everything is kept.
 
@@ -170,7 +170,7 @@ def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.01, high: float
     """
     scored = materialise(perplexities(docs, trusted, fold() > 0, id_col, text_col, lang_col))
     sets = scored.where("trusted").where(fold() == 0)
-    bounds = [F.percentile_approx("perplexity", q, 10_000) * w for q, w in ((low, 1 - slack), (high, 1 + slack))]
+    bounds = [F.percentile_approx("perplexity", q, 10_000) * w for q, w in ((low, 1 / (1 + slack)), (high, 1 + slack))]
     each = sets.groupBy(F.coalesce("lang", F.lit("")).alias("of"), F.col("lang").isNull().alias("no_lang")).agg(F.count("*").alias("n"), *[b.alias(k) for b, k in zip(bounds, ("lower", "upper"))])
     every = stored(sets.agg(*[b.alias(k) for b, k in zip(bounds, ("all_lower", "all_upper"))]).withColumn("one", F.lit(1)))
     out = scored.withColumn("of", F.coalesce("lang", F.lit(""))).withColumn("no_lang", F.col("lang").isNull()).withColumn("one", F.lit(1))

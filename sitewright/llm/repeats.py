@@ -13,11 +13,13 @@ dictionary and of the parse suffixes, cut at the length asked for, and equal one
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sitewright.llm.common import partitions, utf8
 from sitewright.llm.exchange import ASKED, answered, answers, asked_by, at_keys, blocks_of, cut_like, from_planes, join_blocks, mixed, questions
@@ -163,9 +165,40 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     phrase that the corpus has once; of equal spans one shows its strings to be compared with.
     Keys have 64 bits: a false match has a chance of about n^2 / 2^65 for n strings compared.
     """
+    columns = {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("string")}
+
+    def remove(rows: pa.Table, found: Iterator[tuple[bytes, np.ndarray]]) -> list[tuple]:
+        out = []
+        for doc_id, (data, gone) in zip(rows["doc_id"].to_pylist(), found):
+            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
+            runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
+            out.append((doc_id, len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
+        return out
+
+    return _on_repeats(docs, columns, length, remove, REMOVED)
+
+
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200) -> DataFrame:
+    """``docs`` with the repeats taken out of the text, all columns kept.
+
+    See ``remove_repeats``. Characters that a cut goes through are dropped; null texts stay null.
+    """
+    names = [c for c in docs.columns if c != text_col]
+    columns = {"text": F.col(text_col).cast("string"), **{f"c{i}": F.col(c) for i, c in enumerate(names)}}
+
+    def cut(rows: pa.Table, found: Iterator[tuple[bytes, np.ndarray]]) -> pa.Table:
+        text = [None if old is None else np.frombuffer(data, np.uint8)[~gone].tobytes().decode("utf-8", "ignore") for old, (data, gone) in zip(rows["text"].to_pylist(), found)]
+        return pa.table({"text": pa.array(text, pa.string()), **{f"c{i}": rows[f"c{i}"] for i in range(len(names))}})
+
+    schema = StructType([StructField("text", StringType()), *(StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names))])
+    out = _on_repeats(docs, columns, length, cut, schema)
+    return out.select(*[(F.col("text") if c == text_col else F.col(f"c{names.index(c)}")).alias(c) for c in docs.columns])
+
+
+def _on_repeats(docs: DataFrame, columns: dict[str, Column], length: int, work: Callable, schema: str | StructType) -> DataFrame:
+    """``work`` on the rows of every block, with each text's bytes and which of them are repeated."""
     shards = partitions(docs.sparkSession)
-    text = F.col(text_col).cast("string")
-    blocks = blocks_of(docs, {"doc_id": F.col(id_col).cast("long"), "text": text}, ["doc_id", "text"])
+    blocks = blocks_of(docs, columns, list(columns))
 
     def ask_parse(block: int, rows: pa.Table) -> list[tuple]:
         parses = _parses(rows, length)
@@ -180,21 +213,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found, again, _ = _distinct([own, shown])
         return questions(block, WINDOW, found, shards, again)
 
-    def remove(block: int, rows: pa.Table, replies: pa.Table) -> list[tuple]:
+    def settle(block: int, rows: pa.Table, replies: pa.Table) -> list[tuple] | pa.Table:
         parses = _parses(rows, length)
         known, open_, own, shown = _windows(parses, replies)
         _, _, place = _distinct([own, shown])
         repeated = answers(replies, WINDOW, np.uint8)[place[: len(own)]] != ONCE
-        out, at = [], 0
-        for doc_id, (data, parse), settled, start in zip(rows["doc_id"].to_pylist(), parses, known, open_):
-            hit = start[repeated[at : at + len(start)]]
-            at += len(start)
-            gone = _mask(len(data), length, np.concatenate([np.flatnonzero(settled), hit]))
-            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
-            runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
-            out.append((doc_id, len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
-        return out
+        ends = np.cumsum([len(x) for x in open_])
+        hits = (start[repeated[end - len(start) : end]] for start, end in zip(open_, ends))
+        masks = ((data, _mask(len(data), length, np.concatenate([np.flatnonzero(settled), hit]))) for (data, _), settled, hit in zip(parses, known, hits))
+        return work(rows, masks)
 
     parsed = answered(asked_by(blocks, ask_parse), _status)
     compared = answered(join_blocks(blocks, parsed, ask_windows, ASKED), _status)
-    return join_blocks(blocks, parsed.union(compared), remove, REMOVED)
+    return join_blocks(blocks, parsed.union(compared), settle, schema)
