@@ -195,6 +195,18 @@ def vector_rows(spark, sf_dir) -> DataFrame:
     )
 
 
+def separated_rows(spark, sf_dir, groups: int, dims: int) -> DataFrame:
+    """Rows in well separated groups: the label decides the corner, the vector's lower digits the place around it.
+
+    Six uniform digits are added up for each dimension, which is near to a normal spread.
+    """
+    e = table(spark, sf_dir, "embeddings")
+    digits = F.transform("embedding", lambda x: F.abs(x.cast("double")) * 10000 % 1)
+    around = [sum((F.get(digits, F.lit(6 * d + i)) for i in range(6)), F.lit(-3.0)) for d in range(dims)]
+    corner = F.col("label") % groups
+    return e.select(F.col("vec_id").alias("id"), F.array(*[F.when(corner % dims == d, F.lit(20.0) * (1 + F.floor(corner / dims))).otherwise(0.0) + a for d, a in enumerate(around)]).alias("features"))
+
+
 def isolates(spark, sf_dir) -> DataFrame:
     """Isolates ``(id, path, ord)``: one per supplier."""
     s = table(spark, sf_dir, "supplier")

