@@ -9,7 +9,19 @@ from sitewright.schema import UNKNOWN_GROUP
 
 
 class ManifestError(ValueError):
-    """A manifest that the run cannot use."""
+    """A manifest that the run cannot use; ``offenders`` is the table of all rows at fault, if there is one."""
+
+    def __init__(self, message: str, offenders: DataFrame | None = None) -> None:
+        super().__init__(message)
+        self.offenders = offenders
+
+
+def raise_all(offenders: DataFrame, what: str, error: type = ManifestError) -> None:
+    """Raise if there are offenders: their number and one of them in the message, all of them as a table."""
+    number = offenders.count()
+    if number:
+        first = offenders.orderBy(*offenders.columns).first()
+        raise error(f"{what}: {number}, such as {': '.join(str(x) for x in first)}", offenders)
 
 
 def drop_header(rows: DataFrame) -> DataFrame:
@@ -136,7 +148,5 @@ def check_manifest(manifest: DataFrame) -> DataFrame:
     if manifest.isEmpty():
         raise ManifestError("no reads detected")
     for label, key in (("sample ids", F.col("sample_id")), ("reads", reads_text())):
-        again = duplicates(manifest, key).limit(5).collect()
-        if again:
-            raise ManifestError(f"duplicate {label}: {[r['value'] for r in again]}")
+        raise_all(duplicates(manifest, key), f"duplicate {label}")
     return manifest

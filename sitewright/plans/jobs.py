@@ -33,6 +33,30 @@ def _stored(df: DataFrame, path: str, mode: str = "errorifexists", by: str | Non
     return df.sparkSession.read.parquet(path)
 
 
+def _reported(spark: SparkSession, out: str, step):
+    """Run ``step``; before a refusal goes on, all rows at fault are written to ``out``/offenders."""
+    try:
+        return step()
+    except M.ManifestError as refusal:
+        if refusal.offenders is not None:
+            DOC.write_table(refusal.offenders, f"{out}/offenders")
+        raise
+
+
+class PileupError(M.ManifestError):
+    """Pileups that cannot stand for their taxa."""
+
+
+def check_roster(spark: SparkSession, pileups: str, calls: DataFrame | None = None) -> DataFrame:
+    """Taxa below ``pileups``; raises unless each has one pileup file, and rows in ``calls`` if these are given."""
+    folders = spark.createDataFrame([(n,) for n in lines.entries(spark, pileups, folders_only=True)], "taxon string")
+    roster = materialise(evidence.taxon_roster(folders, lines.list_files(spark, pileups, ".pileups")))
+    M.raise_all(roster.filter("n <> 1"), "taxa without exactly one pileup file", PileupError)
+    if calls is not None:
+        M.raise_all(roster.select("taxon").join(calls.select("taxon").distinct(), "taxon", "left_anti"), "taxa without data", PileupError)
+    return roster
+
+
 def prepare_reads(
     spark: SparkSession,
     reads: str,
@@ -45,7 +69,7 @@ def prepare_reads(
     seed: str = "0",
 ) -> DataFrame:
     """Manifest, counts, allocation and subsampled reads. Returns the allocation."""
-    found = manifests.fetch_manifest(spark, reads, filetype, forward_suffix, reverse_suffix)
+    found = _reported(spark, out, lambda: manifests.fetch_manifest(spark, reads, filetype, forward_suffix, reverse_suffix))
     manifest = _stored(found, f"{out}/manifest")
     files = manifest.select(F.explode("reads").alias("path"))
     paths = [r["path"] for r in files.toLocalIterator()]
@@ -62,7 +86,7 @@ def prepare_reads(
 
 def process_pangenome(spark: SparkSession, fasta: str, out: str, prefix: str = "PG") -> tuple[str, str]:
     """Contig table, lengths, site list and metrics of an assembly; never overwrites."""
-    if os.path.exists(out):
+    if lines.is_folder(spark, out):
         raise FileExistsError(out)
     chunks = G.rename_contigs(sequences.read_fasta(spark, fasta), prefix)
     contigs = _stored(chunks.drop("file"), f"{out}/contigs")
@@ -77,7 +101,7 @@ def process_pangenome(spark: SparkSession, fasta: str, out: str, prefix: str = "
 
 def validate_pangenome(spark: SparkSession, path: str, required=None) -> tuple[str, str]:
     """Name and folder of a pangenome; the folder is empty when entries are missing."""
-    listing = spark.createDataFrame([(n,) for n in sorted(os.listdir(path))], "name string")
+    listing = spark.createDataFrame([(n,) for n in lines.entries(spark, path)], "name string")
     names = None if required is None else spark.createDataFrame([(n,) for n in required], "name string")
     whole = R.missing_entries(listing, names).isEmpty()
     return os.path.basename(path.rstrip("/")), path if whole else ""
@@ -128,28 +152,25 @@ def write_call_vectors(spark, calls_path: str, pangenome: str, out: str) -> None
 
 def call_taxa(spark, pileups: str, pangenome: str, out: str, minread: int, thresh: float) -> DataFrame:
     """Calls and quality of every taxon below ``pileups``."""
-    many = evidence.taxa_with_many_pileups(lines.list_files(spark, pileups, ".pileups")).limit(5).collect()
-    if many:
-        raise ValueError(f"more than one pileup file: {[r['taxon'] for r in many]}")
+    _reported(spark, out, lambda: check_roster(spark, pileups))
     rows = evidence.read_pileups(spark, pileups)
     calls = _stored(CA.calls_from_pileup(rows, minread, thresh), f"{out}/calls", by="taxon")
     qc = materialise(CA.contig_quality(spark.read.parquet(f"{pangenome}/lengths"), calls))
     DOC.write_table(qc, f"{out}/call_quality")
     DOC.write_lines(CA.quality_lines(qc), ["taxon", "line_no"], f"{out}/call_log")
-    failed = [r["taxon"] for r in CA.taxa_without_calls(qc).collect()]
-    if failed:
-        raise ValueError(f"no data for {failed}")
+    called = calls.join(CA.taxa_without_calls(qc).select("taxon"), "taxon", "left_anti")
+    _reported(spark, out, lambda: check_roster(spark, pileups, called))
     return calls
 
 
 def taxon_genomes(spark, pileups: str, pangenome: str, out: str) -> DataFrame:
     """Taxon-specific genomes, one FASTA document per taxon."""
+    _reported(spark, out, lambda: check_roster(spark, pileups))
     rows = evidence.read_pileups(spark, pileups)
     consensus = materialise(CA.majority_from_pileup(rows))
     chunks = spark.read.parquet(f"{pangenome}/contigs")
-    unknown = G.unknown_contigs(chunks, consensus).limit(5).collect()
-    if unknown:
-        raise ValueError(f"contigs without sequence: {[r[0] for r in unknown]}")
+    _reported(spark, out, lambda: check_roster(spark, pileups, consensus))
+    _reported(spark, out, lambda: M.raise_all(G.unknown_contigs(chunks, consensus), "contigs without sequence", PileupError))
     taxa = AL.taxa_of(consensus)
     genomes = _stored(G.overlay(chunks, consensus, taxa), f"{out}/genomes", by="taxon")
     for taxon in taxa:
@@ -250,6 +271,6 @@ def run_log(spark, root: str, alignment_log: str, out: str) -> DataFrame:
 
 
 def check_manifest(spark, location: str, out: str, **options) -> DataFrame:
-    manifest = manifests.fetch_manifest(spark, location, **options)
+    manifest = _reported(spark, out, lambda: manifests.fetch_manifest(spark, location, **options))
     DOC.write_table(manifest, out, sep=",", header=False)
     return M.check_manifest(manifest)

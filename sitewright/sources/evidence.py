@@ -20,9 +20,11 @@ def parse_pileup(lines: DataFrame) -> DataFrame:
 
     Lines of at most four fields or without depth are skipped; others must have six.
     """
-    cut = lines.filter(F.col("value").rlike(WITH_DEPTH)).select("taxon", F.split(F.trim("value"), r"\s+").alias("f"))
-    fields = F.when(F.size("f") == 6, F.col("f")).otherwise(
-        F.raise_error(F.concat(F.lit("pileup line without six fields: "), F.array_join("f", " ")))
+    deep = F.col("value").rlike(WITH_DEPTH)
+    cut = lines.filter(deep).select("taxon", F.split(F.trim("value"), r"\s+").alias("f"), deep.alias("deep"))
+    # The planner may judge a line before the filter drops it.
+    fields = F.when(F.size("f") == 6, F.col("f")).when(
+        F.col("deep"), F.raise_error(F.concat(F.lit("pileup line without six fields: "), F.array_join("f", " ")))
     )
     g = F.col("g")
     return cut.withColumn("g", fields).select(
@@ -47,6 +49,12 @@ def taxa_with_many_pileups(files: DataFrame) -> DataFrame:
     return files.groupBy(parent_folder("path").alias("taxon")).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def taxon_roster(folders: DataFrame, files: DataFrame) -> DataFrame:
+    """Every taxon folder (``taxon``) with the number of its pileup files (from one ``path`` per file)."""
+    counts = files.groupBy(parent_folder("path").alias("taxon")).agg(F.count("*").alias("n"))
+    return folders.join(counts, "taxon", "full").select("taxon", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def read_map_data(spark: SparkSession, path: str) -> DataFrame:
     if not path.rstrip("/").endswith("_MapData.tsv"):
         raise ValueError("a genome map must be named <genome>_MapData.tsv")

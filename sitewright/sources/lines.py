@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,7 +73,27 @@ def parent_folder(path):
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = "", recursive: bool = True) -> DataFrame:
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` from the root of its file system, in the form in which listings show it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return re.sub("^file:/*", "/", whole)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(at) and fs.getFileStatus(at).isDirectory()
+
+
+def entries(spark: SparkSession, path: str, folders_only: bool = False) -> list[str]:
+    """Names in a folder of any file system, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory() or not folders_only)
+
+
+def list_files(spark: SparkSession, root: str | list[str], suffix: str = "", recursive: bool = True) -> DataFrame:
     """Paths below ``root`` that end in ``suffix``; contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if suffix:
