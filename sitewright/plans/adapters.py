@@ -21,9 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pileup(spark, sf_dir) -> DataFrame:
-    """Pileup rows: each line item is a fragment of a taxon's pileup at a site."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+def fragments(li: DataFrame) -> DataFrame:
+    """Line items as fragments of pileups: ``taxon, contig, pos, ref, reps, token`` besides their columns."""
     shift = "CASE WHEN l_partkey % 3 = 0 AND tn < 1 + l_partkey % 4 THEN 1 WHEN l_partkey % 5 = 0 AND tn = 6 THEN 2 ELSE 0 END"
     pick = f"CASE WHEN (l_orderkey * 31 + l_linenumber * 17) % 10 < 8 THEN (l_partkey + {shift}) % 5 ELSE (l_orderkey + l_linenumber) % 5 END"
     made = (
@@ -44,16 +43,47 @@ def pileup(spark, sf_dir) -> DataFrame:
              ELSE concat('^+', letter) END"""
     )
     return made.select(
-        F.concat(F.lit("t"), "tn").alias("taxon"),
-        F.expr(f"concat('c', l_partkey div {SPAN})").alias("contig"),
-        F.expr(f"1 + l_partkey % {SPAN}").cast("bigint").alias("pos"),
+        "*", F.concat(F.lit("t"), "tn").alias("taxon"), F.expr(f"concat('c', l_partkey div {SPAN})").alias("contig"),
+        F.expr(f"1 + l_partkey % {SPAN}").cast("bigint").alias("pos"), token.alias("token"),
+    )
+
+
+def pileup(spark, sf_dir) -> DataFrame:
+    """Pileup rows: each line item is a fragment of a taxon's pileup at a site."""
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    made = fragments(li)
+    return made.select(
+        "taxon",
+        "contig",
+        "pos",
         "ref",
         F.col("reps").alias("depth"),
-        F.repeat(token, F.col("reps")).alias("bases"),
+        F.repeat("token", F.col("reps")).alias("bases"),
         F.repeat(F.lit("I"), F.col("reps")).alias("quals"),
     )
 
 
+def mixed_pileup(spark, sf_dir) -> DataFrame:
+    """One pileup row per taxon and site: the fragments of all its line items, one after the other.
+
+    Every 17th fragment is a reference skip or an unknown base, which the stated depth counts
+    and decoding drops; at every 11th position the depth is stated one too high.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    odd = "(l_orderkey * 5 + l_linenumber) % 17"
+    skip = F.expr(f"CASE {odd} WHEN 0 THEN '<' WHEN 1 THEN 'N' WHEN 2 THEN '>' END")
+    rows = fragments(li).withColumn("token", F.repeat(F.coalesce(skip, "token"), F.col("reps")))
+    part = F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "token", "reps")
+    sites = rows.groupBy("taxon", "contig", "pos", "ref").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    depth = F.aggregate("parts", F.lit(0), lambda n, x: n + x["reps"])
+    return sites.select(
+        "taxon", "contig", "pos", "ref",
+        (depth + F.when(F.col("pos") % 11 == 0, 1).otherwise(0)).cast("int").alias("depth"),
+        F.array_join(F.transform("parts", lambda x: x["token"]), "").alias("bases"),
+        F.repeat(F.lit("I"), depth).alias("quals"),
+    )
+
+
 def pileup_lines(spark, sf_dir) -> DataFrame:
     """The same rows as text, ``(taxon, value)``."""
     fields = ["contig", "pos", "ref", "depth", "bases", "quals"]
@@ -195,6 +225,14 @@ def vector_rows(spark, sf_dir) -> DataFrame:
     )
 
 
+def full_edges(spark, sf_dir) -> DataFrame:
+    """The complete lower triangle of distances between the suppliers' isolates, in three groups far apart."""
+    ids = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id_a"))
+    pairs = ids.join(ids.withColumnRenamed("id_a", "id_b"), F.expr("id_b < id_a"))
+    far = F.when(F.col("id_a") % 3 == F.col("id_b") % 3, F.lit(1000.0)).otherwise(F.lit(100000.0))
+    return pairs.withColumn("dist", far + (F.col("id_a") * 7919 + F.col("id_b") * 104729) % 101)
+
+
 def separated_rows(spark, sf_dir, groups: int, dims: int) -> DataFrame:
     """Rows in well separated groups: the label decides the corner, the vector's lower digits the place around it.
 

@@ -74,7 +74,30 @@ SQL["pileup_decode"] = _with(
     LETTERS,
     "SELECT taxon, contig, pos, CAST(reps AS INT) AS depth, repeat(letter, CAST(reps AS INT)) AS decoded FROM letters",
 )
-SQL["depth_mismatches"] = "SELECT 't' || l_suppkey AS taxon, COUNT(*) AS n_rows FROM lineitem WHERE l_linenumber < 0 GROUP BY 1"
+MIXED = LETTERS.replace("FROM lineitem", ", l_quantity AS q, l_extendedprice AS e, (l_orderkey * 5 + l_linenumber) % 17 < 3 AS dropped FROM lineitem") + """, mixed AS (
+  SELECT taxon, contig, pos, CAST(SUM(reps) + CASE WHEN pos % 11 = 0 THEN 1 ELSE 0 END AS INT) AS depth,
+         COALESCE(string_agg(repeat(letter, CAST(reps AS INT)), '' ORDER BY ok, ln, q, e) FILTER (NOT dropped), '') AS decoded
+  FROM letters GROUP BY taxon, contig, pos),
+counted AS (
+  SELECT taxon, contig, pos, b, len(decoded) - len(replace(decoded, b, '')) AS n, instr(decoded, b) AS first
+  FROM mixed, (SELECT unnest(['A', 'C', 'G', 'T', '*']) AS b))"""
+RANKED = MIXED + """, ranked AS (
+  SELECT *, SUM(n) OVER site AS total, row_number() OVER (PARTITION BY taxon, contig, pos ORDER BY n DESC, first) AS seen,
+         row_number() OVER (PARTITION BY taxon, contig, pos ORDER BY n DESC, b = '*', b) AS ordered
+  FROM counted WINDOW site AS (PARTITION BY taxon, contig, pos))"""
+
+
+def _called(least: int, share: float) -> str:
+    few, short = f"n < {least}", f"(total > 0 AND n / total < {share})"
+    return f"""SELECT taxon, contig, pos, CASE WHEN {few} OR {short} OR total = 0 THEN 'N' WHEN b = '*' THEN '-' ELSE b END AS base,
+      CASE WHEN {few} AND {short} THEN 'both' WHEN {few} THEN 'min' WHEN {short} THEN 'thresh' END AS penalty FROM ranked WHERE seen = 1"""
+
+
+SQL["depth_mismatches"] = _with(MIXED, "SELECT taxon, COUNT(*) AS n_rows FROM mixed WHERE len(decoded) <> depth GROUP BY taxon")
+SQL["mixed_decode"] = _with(MIXED, "SELECT * FROM mixed")
+SQL["site_calls"] = _with(RANKED, _called(3, 0.8))
+SQL["site_calls_half"] = _with(RANKED, _called(1, 0.5))
+SQL["site_majority"] = _with(RANKED, "SELECT taxon, contig, pos, CASE WHEN b = '*' THEN 'N' ELSE b END AS base FROM ranked WHERE ordered = 1 AND n > 0")
 SQL["base_votes"] = _with(
     LETTERS,
     """SELECT taxon, contig, pos, """
@@ -275,7 +298,7 @@ SQL["manifest_errors"] = _with(
 SQL["missing_read_files"] = _with(
     MANIFEST + ", named AS (SELECT c_custkey, sample_id, fwd AS path FROM rows_ UNION ALL SELECT c_custkey, sample_id, rev FROM rows_)",
     """SELECT sample_id, 'read file is missing: ' || path AS problem FROM named n
-       WHERE path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = n.c_custkey)""",
+       WHERE path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = n.c_custkey AND o.o_custkey % 7 <> 0)""",
 )
 SQL["read_manifest"] = _with(
     MANIFEST,
@@ -300,7 +323,7 @@ SQL["legacy_listing"] = _with(
     FILES, "SELECT sample_id AS base, CASE WHEN two THEN 'Paired' ELSE 'Single' END AS layout, reads AS paths FROM paired WHERE sample_id NOT LIKE 'Undet%'"
 )
 SQL["duplicate_samples"] = _with(FILES, "SELECT sample_id AS value, COUNT(*) AS n FROM paired GROUP BY 1 HAVING COUNT(*) > 1")
-SQL["missing_entries"] = "SELECT 'S' || c_custkey AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"
+SQL["missing_entries"] = "SELECT 'S' || c_custkey AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 7 <> 0)"
 
 # ---- budget
 
@@ -446,6 +469,18 @@ SQL["greedy_references"] = _with(
        FROM cand c LEFT JOIN chosen3 k ON k.id = c.id""",
 )
 
+TRIANGLE = """edges AS (
+  SELECT a.s_suppkey AS id_a, b.s_suppkey AS id_b,
+         CASE WHEN a.s_suppkey % 3 = b.s_suppkey % 3 THEN 1000.0 ELSE 100000.0 END + (a.s_suppkey * 7919 + b.s_suppkey * 104729) % 101 AS dist
+  FROM supplier a JOIN supplier b ON b.s_suppkey < a.s_suppkey),
+sym AS (SELECT id_a, id_b, dist FROM edges UNION ALL SELECT id_b, id_a, dist FROM edges)"""
+SQL["reference_selection"] = _with(
+    BASE.replace(EDGES, TRIANGLE) + """, cand AS (SELECT *, COUNT(*) OVER (PARTITION BY id % 3) / COUNT(*) OVER () AS prop FROM base),
+    chosen1 AS (SELECT id, 1 AS choice FROM cand ORDER BY score DESC, id LIMIT 1)""" + _round(2) + _round(3),
+    """SELECT c.id, c.path, round(c.score, 6) AS "Base_Score", k.id IS NOT NULL AS "Is_Ref", CAST(k.choice AS INT) AS choice
+       FROM cand c LEFT JOIN chosen3 k ON k.id = c.id""",
+)
+
 # ---- run reports
 
 LINES = """lines AS (

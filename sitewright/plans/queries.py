@@ -72,10 +72,33 @@ def pileup_decode(spark, sf_dir):
 
 @query
 def depth_mismatches(spark, sf_dir):
-    bad = CA.depth_mismatches(X.pileup(spark, sf_dir))
+    bad = CA.depth_mismatches(X.mixed_pileup(spark, sf_dir))
     return bad.groupBy("taxon").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def mixed_decode(spark, sf_dir):
+    """Pileup strings of many reads: starts, ends, indels, skips and unknown bases in one."""
+    return CA.decode_pileup(X.mixed_pileup(spark, sf_dir)).select("taxon", "contig", "pos", "depth", "decoded")
+
+
+@query
+def site_calls(spark, sf_dir):
+    """The production path: a call from each pileup row, without pooling votes."""
+    return CA.calls_from_pileup(X.mixed_pileup(spark, sf_dir), 3, 0.8)
+
+
+@query
+def site_calls_half(spark, sf_dir):
+    """Calls at half the votes, where the base seen first wins a tie."""
+    return CA.calls_from_pileup(X.mixed_pileup(spark, sf_dir), 1, 0.5)
+
+
+@query
+def site_majority(spark, sf_dir):
+    return CA.majority_from_pileup(X.mixed_pileup(spark, sf_dir))
+
+
 @query
 def base_votes(spark, sf_dir):
     return _votes(spark, sf_dir)
@@ -278,8 +301,8 @@ def manifest_errors(spark, sf_dir):
 
 @query
 def missing_read_files(spark, sf_dir):
-    """Manifest entries whose read file is not listed: customers without orders."""
-    orders = X.table(spark, sf_dir, "orders")
+    """Manifest entries whose read file is not listed: customers without orders, and every seventh."""
+    orders = X.table(spark, sf_dir, "orders").filter("o_custkey % 7 <> 0")
     files = orders.select(F.explode(F.array(*[F.expr(f"concat('/reads/', o_custkey, '_{i}.fastq.gz')") for i in (1, 2)])).alias("path"))
     return M.manifest_errors(X.manifest_rows(spark, sf_dir), files.distinct()).filter(F.startswith("problem", F.lit("read file")))
 
@@ -307,9 +330,9 @@ def duplicate_samples(spark, sf_dir):
 
 @query
 def missing_entries(spark, sf_dir):
-    """Required names that a listing lacks: customers that no order names."""
+    """Required names that a listing lacks: customers that no order names, and every seventh."""
     names = lambda t, k: X.table(spark, sf_dir, t).select(F.concat(F.lit("S"), k).alias("name"))
-    return R.missing_entries(names("orders", "o_custkey"), names("customer", "c_custkey"))
+    return R.missing_entries(names("orders", "o_custkey").filter("substr(name, 2) % 7 <> 0"), names("customer", "c_custkey"))
 
 
 # ---- budget
@@ -488,8 +511,9 @@ def greedy_references(spark, sf_dir):
 
 @query
 def reference_selection(spark, sf_dir):
-    chosen = S.select_references(X.isolates(spark, sf_dir), X.isolate_contigs(spark, sf_dir), X.edges(spark, sf_dir), 3)
-    return chosen.select("id", "path", "Base_Score", "Is_Ref", "choice")
+    """The whole selection on a complete triangle of distances in three groups."""
+    chosen = S.select_references(X.isolates(spark, sf_dir), X.isolate_contigs(spark, sf_dir), materialise(X.full_edges(spark, sf_dir)), 3)
+    return chosen.select("id", "path", F.round("Base_Score", 6).alias("Base_Score"), "Is_Ref", "choice")
 
 
 # ---- run reports
