@@ -110,3 +110,14 @@ def subsample(reads: DataFrame, targets: DataFrame, read_key: Column, seed: str
         .filter(F.col("_sum") <= F.col("to_sample"))
     )
     return whole.select(*reads.columns).unionByName(edge.select(*reads.columns))
+
+
+def subsample_pairs(ends: DataFrame, targets: DataFrame, seed: str = "0", digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Reads of each sample up to its base target, both ends of a pair or neither.
+
+    ``ends`` has ``sample_id``, ``read_no``, ``end`` and ``seq``. A pair counts with the bases
+    of both ends; a read without mate is a unit of its own.
+    """
+    units = ends.groupBy("sample_id", "read_no").agg(F.sum(F.length("seq")).cast("bigint").alias("length"))
+    kept = subsample(units, targets, F.col("read_no").cast("string"), seed, digits)
+    return ends.join(kept.select("sample_id", "read_no"), ["sample_id", "read_no"], "left_semi").select(*ends.columns)

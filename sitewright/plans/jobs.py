@@ -68,19 +68,22 @@ def prepare_reads(
     reverse_suffix: str = "_2.fastq.gz",
     seed: str = "0",
 ) -> DataFrame:
-    """Manifest, counts, allocation and subsampled reads. Returns the allocation."""
+    """Manifest, counts, allocation and subsampled reads, as tables and as FASTQ text. Returns the allocation.
+
+    The reads are parsed once; statistics and sample come from the stored table.
+    """
     found = _reported(spark, out, lambda: manifests.fetch_manifest(spark, reads, filetype, forward_suffix, reverse_suffix))
     manifest = _stored(found, f"{out}/manifest")
     files = manifest.select(F.explode("reads").alias("path"))
     paths = [r["path"] for r in files.toLocalIterator()]
-    records = sequences.reads_of_samples(manifest, sequences.read_fastq(spark, paths))
+    parsed = sequences.parse_fastq_records(lines.read_records(spark, paths))
+    records = _stored(sequences.ends_of_samples(manifest, parsed), f"{out}/reads", by="sample_id")
     stats = _stored(B.join_statistics(manifest, B.read_statistics(records)), f"{out}/read_statistics")
     scheme = _stored(B.allocate(stats, genome_size, coverage), f"{out}/subset_scheme")
     DOC.write_table(scheme, f"{out}/subset_scheme_csv", sep=",")
     DOC.write_lines(B.allocation_log(stats, genome_size, coverage), ["line_no", "line"], f"{out}/subset_log")
-    lengths = records.withColumn("length", F.length("seq").cast("bigint"))
-    kept = B.subsample(lengths, scheme, F.col("read_key"), seed)
-    _stored(kept.drop("length"), f"{out}/subset_reads", by="sample_id")
+    kept = _stored(B.subsample_pairs(records, scheme, seed), f"{out}/subset_reads", by="sample_id")
+    DOC.write_fastq(kept, f"{out}/subset_fastq")
     return scheme
 
 

@@ -366,6 +366,13 @@ SQL["read_subsample"] = """WITH reads AS (
          SUM(length) OVER (PARTITION BY sample_id) // 2 AS target FROM reads)
   SELECT sample_id, o_orderkey, length FROM ranked WHERE upto <= target"""
 
+SQL["paired_subsample"] = """WITH pairs AS (
+  SELECT 'S' || (o_custkey % 40) AS sample_id, o_orderkey AS read_no, 20 + o_orderkey % 31 AS one, 10 + o_custkey % 17 AS two FROM orders),
+  ranked AS (SELECT *, SUM(one + two) OVER (PARTITION BY sample_id ORDER BY md5('0:' || read_no), CAST(read_no AS VARCHAR) ROWS UNBOUNDED PRECEDING) AS upto,
+         2 * SUM(one + two) OVER (PARTITION BY sample_id) // 5 AS target FROM pairs)
+  SELECT sample_id, read_no, CAST(e AS INT) AS "end", CAST(CASE WHEN e = 1 THEN one ELSE two END AS INT) AS length
+  FROM ranked, (SELECT unnest([1, 2]) AS e) WHERE upto <= target"""
+
 # ---- assemblies
 
 SQL["isolate_ids"] = """SELECT DISTINCT '/asm/' || source || '.' || lang || '_trim.fasta' AS path, source || '.' || lang AS isolate FROM documents"""

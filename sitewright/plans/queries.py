@@ -378,6 +378,20 @@ def read_subsample(spark, sf_dir):
     return B.subsample(reads, targets, F.col("o_orderkey").cast("string"))
 
 
+@query
+def paired_subsample(spark, sf_dir):
+    """Both ends of the pairs that fit into two fifths of each customer segment's bases: a pair per order."""
+    orders = X.table(spark, sf_dir, "orders")
+    ends = orders.select(
+        F.expr("concat('S', o_custkey % 40)").alias("sample_id"), F.col("o_orderkey").alias("read_no"), F.explode(F.array(F.lit(1), F.lit(2))).alias("end"),
+        "o_custkey",
+    )
+    size = F.when(F.col("end") == 1, 20 + F.col("read_no") % 31).otherwise(10 + F.col("o_custkey") % 17).cast("int")
+    ends = ends.withColumn("seq", F.repeat(F.lit("A"), size)).drop("o_custkey")
+    targets = ends.groupBy("sample_id").agg((F.sum(F.length("seq")) * 2).alias("twice")).select("sample_id", F.expr("twice div 5").alias("to_sample"))
+    return B.subsample_pairs(ends, targets).select("sample_id", "read_no", "end", F.length("seq").alias("length"))
+
+
 # ---- assemblies
 
 

@@ -106,6 +106,13 @@ def write_lines(df: DataFrame, order: list, path: str, column: str = "line", ove
     write_pieces(lined, order, path, text="_text", overwrite=overwrite)
 
 
+def write_fastq(reads: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """FASTQ text in a folder for each sample and end, mates in the same order in both."""
+    record = F.concat(F.lit("@"), F.col("name"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
+    ordered = reads.repartitionByRange("sample_id", "read_no").sortWithinPartitions("sample_id", "end", "read_no")
+    ordered.select("sample_id", "end", record.alias("value")).write.mode(mode).partitionBy("sample_id", "end").text(path)
+
+
 def write_loci(sites: DataFrame, path: str, overwrite: bool = True) -> None:
     """Site names in site order."""
     keys, _ = _order_and_block(sites)

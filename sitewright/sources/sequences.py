@@ -32,6 +32,13 @@ def parse_fastq(lines: DataFrame) -> DataFrame:
     )
 
 
+def parse_fastq_records(lines: DataFrame) -> DataFrame:
+    """Whole four-line records as ``(file, read_no, name, seq, qual)``; the name has no ``@``."""
+    at = lambda n: F.max(F.when(F.col("line_no") % 4 == n, F.trim("value")))
+    records = lines.groupBy("file", F.expr("line_no div 4").alias("read_no")).agg(at(0).alias("name"), at(1).alias("seq"), at(3).alias("qual"))
+    return records.filter(F.col("seq").isNotNull()).withColumn("name", F.regexp_replace("name", "^@", ""))
+
+
 def read_fastq(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     return parse_fastq(read_records(spark, path, glob=glob))
 
@@ -41,3 +48,10 @@ def reads_of_samples(manifest: DataFrame, reads: DataFrame) -> DataFrame:
     owner = manifest.select("sample_id", F.explode("reads").alias("path"))
     located = reads.withColumn("path", F.regexp_replace("file", "^file:/*", "/"))
     return located.join(owner, "path").select("sample_id", F.concat_ws(":", "path", "read_no").alias("read_key"), "seq")
+
+
+def ends_of_samples(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """FASTQ records with their sample and end (1, or 2 for the reverse file); mates have the same ``read_no``."""
+    owner = manifest.select("sample_id", F.posexplode("reads").alias("end", "path")).withColumn("end", F.col("end") + 1)
+    located = records.withColumn("path", F.regexp_replace("file", "^file:/*", "/"))
+    return located.join(owner, "path").select("sample_id", "end", "read_no", "name", "seq", "qual")

@@ -286,7 +286,14 @@ def test_prepare_reads(spark, tmp_path):
     got = {r["sample_id"]: (r["read_count"], r["base_count"], r["to_sample"]) for r in scheme.collect()}
     assert got == {"a": (12, 120, 30), "b": (2, 20, 20), "c": (3, 30, 30)}
     kept = {r["sample_id"]: r["n"] for r in spark.read.parquet(str(tmp_path / "o" / "subset_reads")).groupBy("sample_id").agg(F.count("*").alias("n")).collect()}
-    assert kept == {"a": 3, "b": 2, "c": 3}
+    assert kept == {"a": 2, "b": 2, "c": 3}  # a pair of 20 bases fits into 30, a second one does not
+    text = {}
+    for folder, _, names in sorted(os.walk(tmp_path / "o" / "subset_fastq")):
+        for name in sorted(n for n in names if n.startswith("part-")):
+            text.setdefault(os.path.relpath(folder, tmp_path / "o" / "subset_fastq"), []).append(read(os.path.join(folder, name)))
+    ends = {k: "".join(v) for k, v in text.items()}
+    assert set(ends) == {"sample_id=a/end=1", "sample_id=a/end=2", "sample_id=b/end=1", "sample_id=c/end=1"}
+    assert ends["sample_id=a/end=1"] == ends["sample_id=a/end=2"] and ends["sample_id=b/end=1"] == fastq(2, 10)
 
 
 def test_run_log(spark, tmp_path):
