@@ -188,6 +188,7 @@ def build_alignment(spark, calls_path: str, pangenome: str, out: str, num_missin
     order = spark.read.parquet(f"{pangenome}/lengths").select("contig", "contig_ord")
     variable = AL.variable_sites(AL.site_columns(calls, taxa), len(taxa), num_missing)
     classified = _stored(AL.classify_sites(variable).join(order, "contig"), f"{out}/alignment", mode="overwrite")
+    _stored(spark.createDataFrame([(t,) for t in taxa], "taxon string"), f"{out}/alignment_taxa", mode="overwrite")
     for v in AL.VARIANTS:
         name = "alignment.nex" if v == "all" else f"alignment_{v}.nex"
         DOC.write_nexus(AL.select_variant(classified, v), taxa, f"{out}/{name}.parts")
@@ -211,7 +212,8 @@ def filter_alignment(spark, path: str, missing: int, out: str) -> DataFrame:
 def slice_alignment(spark, all_loci: str, wanted: str, path: str, dataset: str, out: str) -> DataFrame:
     """Gapless, recoded and combined alignments of the wanted loci."""
     columns, taxa = alignments.read_alignment(spark, path)
-    named = columns.drop("locus").join(lines.read_list(spark, all_loci), "site_ord")
+    known = lines.read_list(spark, all_loci)
+    named = columns.drop("locus").join(known, "site_ord") if "site_ord" in columns.columns else columns.select("locus", "column").join(known, "locus")
     sliced = materialise(AL.slice_sites(named, lines.read_list(spark, wanted)))
     sliced = sliced.withColumn("part_ord", AL.combined_order(sliced))
     dna, gapped = sliced.filter("part = 'nogaps'"), sliced.filter("part = 'gapped'")

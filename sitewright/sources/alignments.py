@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from sitewright.operators.genome import rechunk
 from sitewright.schema import ALIGNMENT_FORMATS
-from sitewright.sources.lines import read_ordered, read_records
+from sitewright.functions.text import locus_name
+from sitewright.sources.lines import is_folder, read_ordered, read_records
 from sitewright.sources.sequences import parse_fasta
 
 BLOCK = 1024
@@ -62,11 +63,13 @@ def read_sequences(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 def sequence_columns(sequences: DataFrame, n_taxa: int, block: int = BLOCK) -> DataFrame:
     """Turn sequences into site columns ``(site_ord, column)``, taxa in sorted order.
 
-    Sequences are cut into blocks; the blocks of all taxa at one offset meet in one
+    Only the lengths of a taxon's lines are put in order. Sequences are cut into blocks; the blocks of all taxa at one offset meet in one
     group of ``n_taxa`` members and are transposed there.
     """
     earlier = W.partitionBy("taxon").orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
-    placed = sequences.withColumn("offset", F.coalesce(F.sum(F.length("seq")).over(earlier), F.lit(0)).cast("bigint"))
+    lengths = sequences.select("taxon", "line_no", F.length("seq").alias("n"))
+    offsets = lengths.select("taxon", "line_no", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("bigint").alias("offset"))
+    placed = sequences.join(offsets, ["taxon", "line_no"])
     pieces = rechunk(placed.filter(F.length("seq") > 0), block)
     stacked = pieces.groupBy("offset").agg(F.sort_array(F.collect_list(F.struct("taxon", "seq"))).alias("rows"))
     same = (F.size("rows") == n_taxa) & (F.size(F.array_distinct(F.transform("rows", lambda r: F.length(r["seq"])))) == 1)
@@ -83,11 +86,23 @@ def sequence_columns(sequences: DataFrame, n_taxa: int, block: int = BLOCK) -> D
     )
 
 
+def read_stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """Site columns ``(contig_ord, contig, pos, locus, column)`` and taxa of an alignment stored as Parquet.
+
+    The taxa lie beside it in ``<path>_taxa``. No site is numbered; contig and position give the order.
+    """
+    taxa = sorted(r[0] for r in spark.read.parquet(path.rstrip("/") + "_taxa").collect())
+    return spark.read.parquet(path).select("contig_ord", "contig", "pos", locus_name().alias("locus"), "column"), taxa
+
+
 def read_alignment(spark: SparkSession, path: str, block: int = BLOCK) -> tuple[DataFrame, list[str]]:
     """Site columns ``(site_ord, locus, column)`` and the sorted taxa of an alignment file.
 
-    Without a list of loci the site's ordinal is its locus.
+    Without a list of loci the site's ordinal is its locus. A folder without one of the known
+    extensions is an alignment stored as Parquet: see ``read_stored``.
     """
+    if path.rstrip("/").rsplit(".", 1)[-1] not in ALIGNMENT_FORMATS and is_folder(spark, path):
+        return read_stored(spark, path)
     sequences, loci = read_sequences(spark, path)
     taxa = sorted(r[0] for r in sequences.select("taxon").distinct().collect())
     columns = sequence_columns(sequences, len(taxa), block)

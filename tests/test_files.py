@@ -247,12 +247,14 @@ def test_taxon_genomes(spark, run):
     assert got == {"t1": ">PG_c1\nATGG\n>PG_c2\nG\n", "t2": ">PG_c1\nATGA\n>PG_c2\nN\n"}
 
 
-def test_filter_slice_compare(spark, run):
-    path = join_parts(str(run / "out" / "alignment.nex.parts"), str(run / "alignment.nex"))
+@pytest.mark.parametrize("stored", [False, True])
+def test_filter_slice_compare(spark, run, stored):
+    """On the NEXUS document and on the Parquet table, with the same results."""
+    path = str(run / "out" / "alignment") if stored else join_parts(str(run / "out" / "alignment.nex.parts"), str(run / "alignment.nex"))
     jobs.filter_alignment(spark, path, 0, str(run / "f"))
     assert read(join_parts(str(run / "f" / "locs_m0.txt.parts"), str(run / "t"))) == "PG_c1/1\nPG_c1/2\nPG_c1/4\n"
     loci = put(run / "all.txt", "PG_c1/1\nPG_c1/2\nPG_c1/4\nPG_c2/1\n")
-    os.makedirs(run / "s")
+    os.makedirs(run / "s", exist_ok=True)
     jobs.slice_alignment(spark, loci, put(run / "want.txt", "PG_c2/1\nPG_c1/4\nPG_c1/1\n"), path, "D", str(run / "s"))
     parts = {n: read(join_parts(str(run / "s" / f"D_{n}.phylip-relaxed.parts"), str(run / "t"))) for n in ("NoGaps", "RecodedGaps", "AllSites")}
     assert parts["NoGaps"] == " 4 2\nt1 AG\nt2 AA\nt3 CG\nt4 CA\n"
