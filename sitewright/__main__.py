@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
         ("--reverse-suffix", {"default": "_2.fastq.gz"}),
     ]
     out = ("--out", need)
-    command("manifest", jobs.check_manifest, ("--location", need), out, *suffixes)
+    command("manifest", jobs.check_manifest, ("--location", need), out, *suffixes, ("--ignore-undetermined", {"action": "store_true"}))
     command(
         "prepare-reads", jobs.prepare_reads, ("--reads", need), out, ("--genome-size", number),
         ("--coverage", {"type": float, "default": 10.0}), *suffixes,
@@ -57,6 +57,17 @@ def parser() -> argparse.ArgumentParser:
         "choose-references", jobs.choose_references, ("--triangle", need), ("--ref-count", {"type": int, "default": 1}),
         out, ("--trim-name", {"default": ""}),
     )
+    labelled = (("--triangle", need), ("--labels", need), out, ("--trim-name", {"default": ""}))
+    command("check-groups", jobs.check_groups, *labelled)
+    command("assign-groups", jobs.assign_groups, *labelled, ("--threshold", {"type": float, "default": 1.0}))
+    command(
+        "cluster", jobs.cluster_isolates, ("--triangle", need), out, ("--method", {"choices": ["gmm", "hierarchical"], "default": "gmm"}),
+        ("--max-clusters", {"type": int, "default": 10}), ("--trim-name", {"default": ""}),
+    )
+    command(
+        "build-pangenome", jobs.pangenome, out, ("--reads", {"default": ""}), ("--ref-path", {"default": ""}), ("--name", {"default": "pangenome"}),
+        ("--genome-size", {"type": int, "default": 0}), ("--coverage", {"type": float, "default": 10.0}), *suffixes,
+    )
     command("run-log", jobs.run_log, ("--root", need), ("--alignment-log", need), out)
     return top
 

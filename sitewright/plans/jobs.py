@@ -11,7 +11,9 @@ from sitewright.operators import alignment as AL
 from sitewright.operators import allocation as B
 from sitewright.operators import assembly as A
 from sitewright.operators import calling as CA
+from sitewright.operators import clustering as K
 from sitewright.operators import compare as CO
+from sitewright.operators import distance as D
 from sitewright.operators import genome as G
 from sitewright.operators import manifest as M
 from sitewright.operators import projection as P
@@ -266,6 +268,41 @@ def choose_references(spark, triangle: str, ref_count: int, out: str, trim_name:
     return chosen
 
 
+def _labelled(spark, triangle: str, labels: str, trim_name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Isolates and edges of a triangle, and ``(id, grp)`` from lines ``isolate<TAB>group``; -1 or no line is no group."""
+    isolates, edges = evidence.read_triangle(spark, triangle, trim_name)
+    isolates = materialise(isolates)
+    given = spark.read.schema("isolate string, grp int").csv(labels, sep="\t", mode="FAILFAST")
+    groups = isolates.select("id", "isolate").join(given, "isolate", "left").select("id", F.when(F.col("grp") >= 0, F.col("grp")).alias("grp"))
+    return isolates, materialise(edges), materialise(groups)
+
+
+def check_groups(spark, triangle: str, labels: str, out: str, trim_name: str = "") -> DataFrame:
+    """Whether isolates are closer within their groups than between them; isolates without group do not count."""
+    _, edges, groups = _labelled(spark, triangle, labels, trim_name)
+    found = D.validate_groups(edges, groups.filter("grp is not null"))
+    DOC.write_table(found, out)
+    return found
+
+
+def assign_groups(spark, triangle: str, labels: str, out: str, threshold: float = 1.0, trim_name: str = "") -> DataFrame:
+    """Groups of all isolates, those without one from their nearest grouped isolate."""
+    isolates, edges, groups = _labelled(spark, triangle, labels, trim_name)
+    found = isolates.select("id", "isolate").join(D.assign_unknown(edges, groups, threshold), "id").select("isolate", "grp")
+    DOC.write_table(found, out)
+    return found
+
+
+def cluster_isolates(spark, triangle: str, out: str, method: str = "gmm", max_clusters: int = 10, trim_name: str = "") -> DataFrame:
+    """Clusters of isolates by their distance rows."""
+    isolates, edges = evidence.read_triangle(spark, triangle, trim_name)
+    isolates = materialise(isolates)
+    rows = materialise(K.distance_rows(edges, isolates.select("id")))
+    found = isolates.select("id", "isolate").join(K.by_smallest(K.cluster_unknown(rows, max_clusters, method)), "id").select("isolate", "cluster")
+    DOC.write_table(found, out)
+    return found
+
+
 def run_log(spark, root: str, alignment_log: str, out: str) -> DataFrame:
     """Mapping, site selection and alignment figures of a run in one document."""
     tool = lines.read_log(spark, root, glob="err_*")
