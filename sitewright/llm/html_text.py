@@ -36,7 +36,8 @@ OTHER = set(
     "share sharing social related recommended recommendations pagination pager toolbar copyright legal disclaimer hidden contentinfo complementary "
     "dialog alertdialog".split()
 )
-OWN = set("article articles articlebody post entry story main content text".split())
+OWN = set("article articles articlebody post entry story main content".split())
+LAYOUT = set("has with no without".split())
 MAIN = {"main", "article"}
 
 
@@ -54,15 +55,15 @@ def _labels(attrs: str) -> tuple[set[str], bool]:
     return words, hidden
 
 
-def blocks(page: str | None) -> list[tuple[str, int, bool]]:
-    """Blocks of a page in order: text with single spaces, characters outside links, whether in a marked article.
+def blocks(page: str | None) -> list[tuple[str, int, int]]:
+    """Blocks of a page in order: text with single spaces, characters outside links, and 2 in an article, 1 in a main part, else 0.
 
     Markup is stripped here: tags, comments, scripts, styles, and elements whose kind or name
     says that they are menu, header, footer, sidebar, notice, advert, form or reader comment.
     Such an element ends at its own end tag, at the next start of a main or article element, or,
     where HTML lets the end tag out, at the tag that ends it.
     """
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked, links, skip, depth, article, at = 0, 0, "", 0, [], 0
     page = page or ""
@@ -72,7 +73,7 @@ def blocks(page: str | None) -> list[tuple[str, int, bool]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, max(0, len(text) - linked), bool(article)))
+                out.append((text, max(0, len(text) - linked), 2 if "article" in article else len(article[:1])))
             parts.clear()
         linked = 0
 
@@ -127,14 +128,13 @@ def blocks(page: str | None) -> list[tuple[str, int, bool]]:
         if name in VOID:
             continue
         words, hidden = _labels(attrs) if attrs.strip() else (set(), False)
-        named = bool(words & OTHER) and not (words & OWN and not words & {"comment", "comments", "ad", "ads", "related", "sidebar"})
+        named = bool(words & (OTHER - {"header"}) and not words & LAYOUT or "header" in words and not words & OWN)
         page_header = name == "header" and not article
         if hidden or name in CHROME or page_header or (named and name not in ("html", "body", "main", "h1")):
             flush()
             skip, depth = name, 1
-        elif name in MAIN or (name in ("div", "section") and ("articlebody" in "".join(sorted(words)) or {"article", "body"} <= words)):
-            if name in MAIN:
-                article.append(name)
+        elif name in MAIN:
+            article.append(name)
         elif name == "a":
             links += 1
     flush()
@@ -154,14 +154,14 @@ def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
     over ``window`` lines from each line on. A region starts where the sum surges above
     ``surge`` with text in the lines that follow, and lasts to the dive, the first line with
     nothing in its window. Lines of a region stay whole, in page order. Where the page marks
-    its article with main or article elements, lines outside weigh nothing and any sum above 0
+    its article with article elements, or else with a main element, lines outside weigh nothing and any sum above 0
     is a surge, so that short paragraphs of the article stay.
     """
     lines = blocks(page)
     if not lines:
         return ""
-    marked = any(x[2] for x in lines)
-    weight = np.array([len(x[0]) * x[2] if marked else x[1] * (2 * x[1] > len(x[0])) for x in lines], np.int64)
+    marked = max(x[2] for x in lines)
+    weight = np.array([len(x[0]) * (x[2] == marked) if marked else x[1] * (2 * x[1] > len(x[0])) for x in lines], np.int64)
     total = np.concatenate([[0], np.cumsum(weight)])
     ends = np.minimum(np.arange(len(lines)) + window, len(lines))
     sums = total[ends] - total[:-1]

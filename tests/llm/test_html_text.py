@@ -27,6 +27,16 @@ def test_page_without_marked_article():
     assert "Home" not in main_text(page) and "Next" not in main_text(page)
 
 
+def test_parts_by_their_names():
+    body = "".join(f"<p>{LONG} {i}</p>" for i in range(3))
+    for opening, own in (('<div class="content with-sidebar">', True), ('<div class="entry-content">', True), ('<div class="post-footer">', False), ('<div id="searchForm">', False), ('<section class="user-comments">', False), ('<div role="complementary">', False), ('<p hidden>', False)):
+        tag = opening[1:].split()[0]
+        page = f"<body>{body}{opening}<span>{LONG} own</span></{tag}><p>{LONG} end</p></body>"
+        assert (f"{LONG} own" in main_text(page)) == own and main_text(page).endswith("end")
+    article = f'<main><p>Teaser {LONG}</p><article><div class="entry-header"><h1>Title</h1></div><p>One.</p><article class="comment"><p>{LONG}</p></article><p>Two.</p></article></main>'
+    assert main_text(article) == "Title\nOne.\nTwo."
+
+
 def test_broken_markup_ends_somewhere():
     assert main_text("<article><p>One<p>Two<script>var a = '<p>x") == "One\nTwo"
     assert main_text("<article><p>1 < 2 & 3 &lt;b&gt; <3</p>") == "1 < 2 & 3 <b> <3"
@@ -37,7 +47,7 @@ def test_broken_markup_ends_somewhere():
 
 
 def test_links_weigh_nothing():
-    assert blocks("<p>ab <a href=x>cd</a></p>") == [("ab cd", 3, False)]
+    assert blocks("<p>ab <a href=x>cd</a></p>") == [("ab cd", 3, 0)]
 
 
 def test_query_on_the_given_pages(spark):
