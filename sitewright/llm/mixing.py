@@ -74,9 +74,9 @@ def leaf_budgets(sizes: DataFrame, levels: Sequence[str], weights: Mapping[tuple
         nodes = below.groupBy(*path).agg(F.sum("cap").alias("cap")).withColumn("parts", _parts(path, weights, default))
         below = stored(nodes.withColumn("cap", F.when(F.col("parts") > 0, F.col("cap")).otherwise(0)))
         tables[depth] = below.where("parts > 0")
-    asked = F.lit(budget) if budget is not None else F.col("all_tokens")
-    root = tables[1].agg(F.sum("cap").alias("held")).crossJoin(sizes.agg(F.sum("tokens").alias("all_tokens"))).select(F.least(asked, "held").cast("long").alias("given"))
-    dealt = _share(tables[1].crossJoin(root), [], levels[0])
+    held = tables[1].agg(F.sum("cap")).scalar()
+    asked = F.lit(budget) if budget is not None else sizes.agg(F.sum("tokens")).scalar()
+    dealt = _share(tables[1].withColumn("given", F.least(asked, held).cast("long")), [], levels[0])
     for depth in range(2, len(levels) + 1):
         path = list(levels[: depth - 1])
         dealt = _share(tables[depth].join(dealt.select(*path, "given"), path), path, levels[depth - 1])
