@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewright.llm.common import partitions, stored, utf8
-from sitewright.llm.exchange import ANSWERED, answers, as_table, asked_by, at_keys, cut_like, from_planes, join_blocks, mixed, of_kind, planes, questions
+from sitewright.llm.common import stored, utf8
+from sitewright.llm.exchange import ANSWERED, answers, as_table, asked_by, at_keys, blocks_of, cut_like, from_planes, join_blocks, mixed, of_kind, questions_to, replies_to, shards_of
 from sitewright.session import materialise
 
 ORDER = 5
@@ -45,13 +45,6 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return out[own], sizes
 
 
-def unmixed(x: np.ndarray) -> np.ndarray:
-    """Inverse of ``mixed``."""
-    for shift, times in ((31, pow(0x94D049BB133111EB, -1, 1 << 64)), (27, pow(0xBF58476D1CE4E5B9, -1, 1 << 64))):
-        x = (x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))) * np.uint64(times)
-    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
-
-
 def _stats(grams: DataFrame) -> DataFrame:
     """One row: the discounts of counts 1, 2 and more, from how many grams have count 1 to 4."""
     n = grams.agg(*[F.sum((F.col("c") == r).cast("double")).alias(f"n{r}") for r in range(1, 5)])
@@ -74,15 +67,18 @@ def probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
     lower: DataFrame | None = None
     for k in range(1, order + 1):
         own = tables[k].withColumn("context", F.shiftright("gram", BITS)).withColumn("one", F.lit(1))
-        seen = own.where("c > 0").groupBy("context").agg(F.sum("c").alias("total"), *[F.sum(F.when(test, 1).otherwise(0)).alias(f"k{r}") for r, test in ((1, F.col("c") == 1), (2, F.col("c") == 2), (3, F.col("c") > 2))])
-        own = own.join(seen, "context", "left").join(F.broadcast(_stats(tables[k])), "one")
+        within = Window.partitionBy("context")  # as many rows as there are symbols at most
+        own = own.withColumn("total", F.sum("c").over(within))
+        for r, test in ((1, F.col("c") == 1), (2, F.col("c") == 2), (3, F.col("c") > 2)):
+            own = own.withColumn(f"k{r}", F.sum(test.cast("int")).over(within))
+        own = own.join(F.broadcast(_stats(tables[k])), "one")
         if lower is None:
             own = own.withColumn("below", F.lit(1.0 / SYMBOLS))
         else:
             own = own.withColumn("suffix", F.col("gram").bitwiseAND((1 << BITS * (k - 1)) - 1)).join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix")
         off = F.when(F.col("c") > 2, F.col("d3")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d1"))
         passed = (F.col("d1") * F.col("k1") + F.col("d2") * F.col("k2") + F.col("d3") * F.col("k3")) / F.col("total")
-        p = F.when(F.col("total").isNull(), F.col("below")).otherwise(F.greatest(F.col("c") - off, F.lit(0.0)) / F.col("total") + passed * F.col("below"))
+        p = F.when(F.col("total") == 0, F.col("below")).otherwise(F.greatest(F.col("c") - off, F.lit(0.0)) / F.col("total") + passed * F.col("below"))
         lower = own.select(*(["shard"] if k == order else []), "gram", p.alias("p"))
     return lower
 
@@ -97,18 +93,21 @@ def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str
     condition on doc_id) are used. Perplexity is per symbol: bytes and one end.
     """
     spark = docs.sparkSession
-    n = partitions(spark)
+    n = shards_of(spark)
     own_id = F.col(id_col).cast("long").alias("doc_id")
     texts = docs.select(own_id, F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.lit(True).alias("text_row"))
     marks = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     marks = marks.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), F.lit(False).alias("text_row"))
     both = texts.union(marks).withColumn("train", F.coalesce(train, F.lit(False)))
     spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    blocks = both.withColumn("block", F.pmod(spread, F.lit(2 * n)).cast("int")).repartition(n, "block")
+    blocks = blocks_of(both, {c: F.col(c) for c in both.columns}, [spread])
+
+    def shard_of(grams: np.ndarray) -> np.ndarray:
+        return (mixed(grams) % np.uint64(n)).astype(np.int64)
 
     def read(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
-        is_text = rows["text_row"].to_numpy()
-        marked = set(rows["doc_id"].to_numpy(zero_copy_only=False)[~is_text].tolist())
+        is_text = rows["text_row"].to_numpy(zero_copy_only=False)
+        marked = set(rows.filter(pa.array(~is_text))["doc_id"].to_pylist())
         kept = rows.filter(pa.array(is_text))
         return kept, np.array([d in marked for d in kept["doc_id"].to_pylist()], bool)
 
@@ -116,31 +115,33 @@ def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str
         kept, marked = read(rows)
         grams, sizes = grams_of(kept["text"].to_pylist())
         learns = np.repeat(marked & kept["train"].to_numpy(zero_copy_only=False), sizes)
-        keys, place = np.unique(mixed(grams), return_inverse=True)
-        return questions(block, GRAM, keys, n, np.bincount(place[learns], minlength=len(keys)).astype(np.uint64))
+        keys, place = np.unique(grams, return_inverse=True)
+        return questions_to(block, GRAM, keys, shard_of(keys), np.bincount(place[learns], minlength=len(keys)).astype(np.uint64))[0]
 
     def totals(rows: pa.Table) -> pa.Table:
         _, keys, notes = of_kind(rows, GRAM)
         found, place = at_keys(keys)
         counts = np.bincount(place, weights=np.concatenate([from_planes(x, np.uint64) for x in notes]), minlength=len(found))
-        return pa.table({"shard": pa.array(np.full(len(found), rows["shard"][0].as_py(), np.int32)), "gram": unmixed(found).view(np.int64), "c": counts.astype(np.int64)})
+        return pa.table({"shard": pa.array(np.full(len(found), rows["shard"][0].as_py(), np.int32)), "gram": found.view(np.int64), "c": counts.astype(np.int64)})
 
     def reply(rows: pa.Table, known: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return as_table([], ANSWERED)
         asking, keys, _ = of_kind(rows, GRAM)
-        held = mixed(known["gram"].to_numpy().view(np.uint64))
+        held = known["gram"].to_numpy()
         order = np.argsort(held)
-        place = order[np.searchsorted(held[order], np.concatenate(keys))]
+        place = order[np.searchsorted(held[order], np.concatenate(keys).view(np.int64))]
         found = np.log10(known["p"].to_numpy())[place].astype(np.float32)
         shard = rows["shard"][0].as_py()
-        return as_table([(b, shard, GRAM, planes(np.ascontiguousarray(x))) for b, x in zip(asking, cut_like(found, keys))], ANSWERED)
+        return replies_to(shard, [(b, GRAM, x) for b, x in zip(asking, cut_like(found, keys))])
 
     def score(block: int, rows: pa.Table, replies: pa.Table) -> list[tuple]:
         kept, marked = read(rows)
         grams, sizes = grams_of(kept["text"].to_pylist())
-        _, place = np.unique(mixed(grams), return_inverse=True)
-        logs = answers(replies, GRAM, np.float32).astype(float)[place]
+        keys, place = np.unique(grams, return_inverse=True)
+        logs = np.empty(len(keys))
+        logs[questions_to(block, GRAM, keys, shard_of(keys), keys)[1]] = answers(replies, GRAM, np.float32)
+        logs = logs[place]
         total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=logs, minlength=len(sizes))
         return list(zip(kept["doc_id"].to_pylist(), kept["lang"].to_pylist(), marked.tolist(), sizes.tolist(), total.tolist()))
 

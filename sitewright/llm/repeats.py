@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sitewright.llm.common import partitions, utf8
-from sitewright.llm.exchange import ASKED, answered, answers, asked_by, at_keys, blocks_of, cut_like, from_planes, join_blocks, mixed, questions
+from sitewright.llm.common import utf8
+from sitewright.llm.exchange import ASKED, answered, answers, asked_by, at_keys, blocks_of, cut_like, from_planes, join_blocks, mixed, questions, shards_of
 
 #: Bytes of a trigger, and one place in how many is one.
 TRIGGER, SPARSE = 12, 32
@@ -197,7 +197,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200)
 
 def _on_repeats(docs: DataFrame, columns: dict[str, Column], length: int, work: Callable, schema: str | StructType) -> DataFrame:
     """``work`` on the rows of every block, with each text's bytes and which of them are repeated."""
-    shards = partitions(docs.sparkSession)
+    shards = shards_of(docs.sparkSession)
     blocks = blocks_of(docs, columns, list(columns))
 
     def ask_parse(block: int, rows: pa.Table) -> list[tuple]:
