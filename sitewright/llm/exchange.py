@@ -125,15 +125,24 @@ def asked_by(blocks: DataFrame, ask: Callable[[int, pa.Table], list[tuple]]) ->
     return blocks.groupBy("block").applyInArrow(lambda rows: as_table(ask(rows["block"][0].as_py(), unpacked(rows)), ASKED), ASKED)
 
 
-def replies_to(shard: int, found: list[tuple[int, int, np.ndarray]]) -> pa.Table:
+def squeezed(data: bytes) -> bytes:
+    """Compressed bytes after their length: answers are mostly small numbers and zeros."""
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
+def replies_to(shard: int, found: Iterable[tuple[int, int, np.ndarray]]) -> pa.Table:
     """Rows of ANSWERED, one for each block, from (block, kind, answer)."""
     by_block: dict[int, list[tuple[int, bytes]]] = {}
     for block, kind, answer in found:
-        by_block.setdefault(block, []).append((kind, planes(np.ascontiguousarray(answer))))
+        by_block.setdefault(block, []).append((kind, squeezed(planes(np.ascontiguousarray(answer)))))
     return as_table([(b, shard, [k for k, _ in x], [y for _, y in x]) for b, x in by_block.items()], ANSWERED)
 
 
-def at_shards(asked: DataFrame, work: Callable[[int, pa.Table], list[tuple[int, int, np.ndarray]]]) -> DataFrame:
+def at_shards(asked: DataFrame, work: Callable[[int, pa.Table], Iterable[tuple[int, int, np.ndarray]]]) -> DataFrame:
     """``work`` on every shard's questions, in order of kind and block; it gives (block, kind, answer)."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -166,7 +175,7 @@ def parts_of(replies: pa.Table, kind: int, values: type) -> list[np.ndarray]:
     """Answers of one kind to one block, from every shard that gave one, in order of shards."""
     replies = replies.sort_by("shard")
     pairs = zip(replies["kinds"].to_pylist(), replies["parts"])
-    return [from_planes(parts[i].as_py(), values) for kinds, parts in pairs for i, k in enumerate(kinds) if k == kind]
+    return [from_planes(unsqueezed(parts[i].as_py()), values) for kinds, parts in pairs for i, k in enumerate(kinds) if k == kind]
 
 
 def answers(replies: pa.Table, kind: int, values: type) -> np.ndarray:

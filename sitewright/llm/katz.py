@@ -7,6 +7,7 @@ there; frequent contexts are cut into slots by the second word, and their sums a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.llm.common import partitions, utf8
-from sitewright.llm.exchange import ASKED, answers, asked_by, at_keys, at_shards, blocks_of, cut_like, from_planes, join_blocks, mixed, of_kind, pack, planes, questions
+from sitewright.llm.exchange import ASKED, answers, asked_by, at_keys, at_shards, blocks_of, cut_like, from_planes, join_blocks, mixed, of_kind, pack, parts_of, planes, questions
 
 #: Counts above HIGH are not discounted.
 HIGH = 5
@@ -130,8 +131,7 @@ def _by_shard(shard: np.ndarray, shards: int) -> list[tuple[int, slice]]:
 
 def stats_of(replies: pa.Table, kind: int) -> np.ndarray:
     """Sum of what all shards count over their part of a table."""
-    part = replies.filter(pa.array(replies["kind"].to_numpy() == kind))
-    return np.sum([from_planes(x, np.uint64) for x in part["answer"].to_pylist()] or [np.zeros(HIGH + 4, np.uint64)], axis=0)
+    return np.sum(parts_of(replies, kind, np.uint64) or [np.zeros(HIGH + 4, np.uint64)], axis=0)
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -154,7 +154,7 @@ def score(docs: DataFrame, held_out: F.Column, id_col: str = "doc_id", text_col:
     unknown word, of probability 1. Words are compared by 64-bit hashes; up to 2^32 - 1 different words.
     """
     n = partitions(docs.sparkSession)
-    shards, n_blocks = n, 2 * n
+    shards, n_blocks = max(1, 9 * n // 10), 2 * n
     columns = {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("string"), "train": ~F.coalesce(held_out, F.lit(False))}
     blocks = blocks_of(docs, columns, ["doc_id", "text"])
 
@@ -187,26 +187,29 @@ def score(docs: DataFrame, held_out: F.Column, id_col: str = "doc_id", text_col:
             out.append((shard, block, CONTEXT, pack(own.contexts[own.cut_context[own.cut_order[part]]]), b""))
         return out
 
-    def count_pairs(shard: int, rows: pa.Table) -> list[tuple[int, int, np.ndarray]]:
+    def count_pairs(shard: int, rows: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
         asking, keys, notes = of_kind(rows, PAIR)
-        halves = [from_planes(x[: len(x) // 2], np.uint64) for x in notes], [from_planes(x[len(x) // 2 :], np.uint64) for x in notes]
         none = np.zeros(0, np.uint64)
         pairs, at = at_keys([none, *keys])
-        counts = np.bincount(at, weights=np.concatenate([none, *halves[0]]), minlength=len(pairs)).astype(np.uint64)
-        second = np.zeros(len(pairs), np.uint64)
-        second[at] = np.concatenate([none, *halves[1]])
+        counts, second, start = np.zeros(len(pairs), np.uint64), np.zeros(len(pairs), np.uint64), 0
+        for note in notes:  # block by block, each with distinct pairs
+            half = len(note) // 2
+            own = at[start : start + half // 8]
+            counts[own] += from_planes(note[:half], np.uint64)
+            second[own] = from_planes(note[half:], np.uint64)
+            start += half // 8
         contexts, context = np.unique(pairs >> WIDE, return_inverse=True)
         seen = counts > 0
         sums = np.concatenate([_binned(counts, context, len(contexts)), _binned(second[seen], context[seen], len(contexts))], axis=1)
-        out = [(b, PAIR_COUNT, x) for b, x in zip(asking, cut_like(counts[at], keys))]
-        for block, own in zip(asking, keys):
-            out.append((block, SUMS, sums[np.searchsorted(contexts, np.unique(own >> WIDE))].ravel()))
+        for block, own, found in zip(asking, keys, cut_like(at, keys)):  # an answer at a time, each packed before the next
+            yield block, PAIR_COUNT, counts[found]
+            yield block, SUMS, sums[np.searchsorted(contexts, np.unique(own >> WIDE))].ravel()
         for block, own, _ in zip(*of_kind(rows, CONTEXT)):
             place = np.minimum(np.searchsorted(contexts, own), max(0, len(contexts) - 1))
             there = (contexts[place] == own)[:, None] if len(contexts) else np.zeros((len(own), 1), bool)
-            out.append((block, SLOT_SUMS, (np.where(there, sums[place], 0) if len(contexts) else np.zeros((len(own), sums.shape[1]))).astype(np.uint64).ravel()))
+            yield block, SLOT_SUMS, (np.where(there, sums[place], 0) if len(contexts) else np.zeros((len(own), sums.shape[1]))).astype(np.uint64).ravel()
         stats = np.array([counts.sum(), seen.sum(), *((counts == r).sum() for r in range(1, HIGH + 2)), 0], np.uint64)
-        return out + [(b, PAIR_STATS, stats) for b in range(n_blocks)]
+        yield from ((b, PAIR_STATS, stats) for b in range(n_blocks))
 
     def evaluate(block: int, rows: pa.Table, replies: pa.Table) -> list[tuple]:
         tokens = Tokens(rows)
