@@ -86,18 +86,19 @@ def probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
 SCORED = "doc_id long, lang string, trusted boolean, n_symbols long, log10_p double"
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", key_col: str | None = None) -> DataFrame:
     """(doc_id, lang, trusted, n_symbols, log10_p, perplexity) of every document under a model of trusted text.
 
     ``trusted`` (doc_id) lists the documents to learn from, of which those with ``train`` (a
-    condition on doc_id) are used. Perplexity is per symbol: bytes and one end.
+    condition on doc_id) are used. Perplexity is per symbol: bytes and one end. ``key_col`` names
+    a long column that is passed on as ``key``.
     """
     spark = docs.sparkSession
     n = shards_of(spark)
     own_id = F.col(id_col).cast("long").alias("doc_id")
-    texts = docs.select(own_id, F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.lit(True).alias("text_row"))
+    texts = docs.select(own_id, F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.lit(True).alias("text_row"), *([F.col(key_col).alias("key")] if key_col else []))
     marks = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    marks = marks.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), F.lit(False).alias("text_row"))
+    marks = marks.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), F.lit(False).alias("text_row"), *([F.lit(None).cast("long").alias("key")] if key_col else []))
     both = texts.union(marks).withColumn("train", F.coalesce(train, F.lit(False)))
     spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     blocks = blocks_of(both, {c: F.col(c) for c in both.columns}, [spread])
@@ -143,12 +144,12 @@ def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str
         logs[questions_to(block, GRAM, keys, shard_of(keys), keys)[1]] = answers(replies, GRAM, np.float32)
         logs = logs[place]
         total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=logs, minlength=len(sizes))
-        return list(zip(kept["doc_id"].to_pylist(), kept["lang"].to_pylist(), marked.tolist(), sizes.tolist(), total.tolist()))
+        return list(zip(kept["doc_id"].to_pylist(), kept["lang"].to_pylist(), marked.tolist(), sizes.tolist(), total.tolist(), *([kept["key"].to_pylist()] if key_col else [])))
 
     asked = asked_by(blocks, ask)
     found = probabilities(asked.groupBy("shard").applyInArrow(totals, GRAMS))
     replies = asked.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(reply, ANSWERED)
-    scored = join_blocks(blocks, replies, score, SCORED)
+    scored = join_blocks(blocks, replies, score, SCORED + (", key long" if key_col else ""))
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("log10_p") / F.col("n_symbols")))
 
 
@@ -156,7 +157,7 @@ def fold(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.05, high: float = 0.95, slack: float = 0.8, least: int = 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.05, high: float = 0.95, slack: float = 0.8, least: int = 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", key_col: str | None = None) -> DataFrame:
     """Perplexity of every document and whether it is kept: within the quantiles that trusted text of its language has.
 
     The model learns from four of five folds of the trusted documents; the fifth sets the
@@ -165,11 +166,11 @@ def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.05, high: float
     ``least`` documents in that fold take the bounds of all languages together; without any
     document in it everything is kept.
 
-    One row per row of ``docs``: doc_id, lang, n_symbols, perplexity, lower, upper, keep. Null
+    One row per row of ``docs``: doc_id, lang, n_symbols, perplexity, lower, upper, keep, and key if ``key_col`` names one. Null
     text counts as empty (one symbol), a null lang is a language of its own, a null doc_id is
     never trusted, repeated rows give a row each and count again in training, other columns are ignored, an empty table gives none.
     """
-    scored = materialise(perplexities(docs, trusted, fold() > 0, id_col, text_col, lang_col))
+    scored = materialise(perplexities(docs, trusted, fold() > 0, id_col, text_col, lang_col, key_col))
     sets = scored.where("trusted").where(fold() == 0)
     bounds = [F.percentile_approx("perplexity", q, 10_000) * w for q, w in ((low, 1 / (1 + slack)), (high, 1 + slack))]
     each = sets.groupBy(F.coalesce("lang", F.lit("")).alias("of"), F.col("lang").isNull().alias("no_lang")).agg(F.count("*").alias("n"), *[b.alias(k) for b, k in zip(bounds, ("lower", "upper"))])
@@ -178,7 +179,7 @@ def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.05, high: float
     out = out.join(stored(each.where(F.col("n") >= least).drop("n")), ["of", "no_lang"], "left").join(F.broadcast(every), "one")
     lower, upper = F.coalesce("lower", "all_lower"), F.coalesce("upper", "all_upper")
     keep = F.coalesce((F.col("perplexity") >= lower) & (F.col("perplexity") <= upper), F.lit(True))
-    return out.select("doc_id", "lang", "n_symbols", "perplexity", lower.alias("lower"), upper.alias("upper"), keep.alias("keep"))
+    return out.select("doc_id", "lang", "n_symbols", "perplexity", lower.alias("lower"), upper.alias("upper"), keep.alias("keep"), *(["key"] if key_col else []))
 
 
 def trusted_labels(labels: DataFrame) -> DataFrame:

@@ -84,12 +84,12 @@ def leaf_budgets(sizes: DataFrame, levels: Sequence[str], weights: Mapping[tuple
     return out.select(*levels, "tokens", "given", F.expr("given div tokens").alias("epochs"), (F.col("given") % F.col("tokens")).alias("rest"))
 
 
-def sized(docs: DataFrame, levels: Sequence[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, levels, n_tokens) of every document; null names of a level become ''."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in levels], token_count(F.col(text_col).cast("string")).alias("n_tokens"))
+def sized(docs: DataFrame, levels: Sequence[str], id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """(doc_id, levels, n_tokens and any key) of every document; null names of a level become ''."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in levels], token_count(F.col(text_col).cast("string")).alias("n_tokens"), *([F.col(key_col).alias("key")] if key_col else []))
 
 
-def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...], int], budget: int | None = None, max_epochs: int = 2, seed: int = 7, default: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...], int], budget: int | None = None, max_epochs: int = 2, seed: int = 7, default: int = 1, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
     """Documents that meet the weights: doc_id, levels, epoch (from 0), n_tokens, take_tokens, tokens and given of the leaf.
 
     Every leaf gets whole epochs, then the prefix of one more that has the tokens left. An epoch
@@ -98,13 +98,13 @@ def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...]
     document in one epoch. The takes of a leaf add up to its budget.
 
     Documents without tokens (null or empty text) are in whole epochs only; a null doc_id is
-    ordered as ''; repeated rows count each; null names of a level form the group ''; an empty table gives no rows.
+    ordered as ''; repeated rows count each; ``key_col`` names a column that is passed on as ``key`` and orders what else is equal; null names of a level form the group ''; an empty table gives no rows.
 
     Only the ids and sizes of documents are dealt. A hot leaf is never one group: its epoch is cut
     into 4096 ranges that are summed; rows are put in order only in the range where the prefix ends.
     """
     keys = list(levels)
-    thin = materialise(sized(docs, keys, id_col, text_col))
+    thin = materialise(sized(docs, keys, id_col, text_col, key_col))
     leaves = stored(leaf_budgets(stored(thin.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens"))), keys, weights, budget, max_epochs, default))
     rows = thin.join(leaves, keys)
     whole = rows.where("epochs > 0").withColumn("epoch", F.explode(F.expr("sequence(0, cast(epochs - 1 as int))"))).withColumn("take_tokens", F.col("n_tokens"))
@@ -115,9 +115,9 @@ def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...]
     sums = part.groupBy(*keys, "range").agg(F.sum("n_tokens").alias("held"), F.first("rest").alias("rest")).withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
     ends = stored(sums.where("start < rest and start + held >= rest").select(*keys, F.col("range").alias("last"), "start"))
     part = part.join(ends, keys)
-    order = Window.partitionBy(*keys).orderBy("place", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy(*keys).orderBy("place", "doc_id", "n_tokens", *(["key"] if key_col else [])).rowsBetween(Window.unboundedPreceding, -1)
     edge = part.where("range = last").withColumn("start", F.col("start") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where("start < rest")
-    out = [*keys, "epoch", "n_tokens", "take_tokens", "tokens", "given"]
+    out = [*keys, "epoch", "n_tokens", "take_tokens", "tokens", "given", *(["key"] if key_col else [])]
     picked = whole.select("doc_id", *out)
     picked = picked.union(part.where("range < last").withColumn("take_tokens", F.col("n_tokens")).select("doc_id", *out))
     return picked.union(edge.withColumn("take_tokens", F.least("n_tokens", F.col("rest") - F.col("start"))).select("doc_id", *out))
