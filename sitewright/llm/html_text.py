@@ -18,7 +18,8 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*>",
     re.S,
 )
-ATTR = re.compile(r"(?P<key>class|id|role|itemprop|hidden|aria-hidden|aria-modal)\s*(?:=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s\"'>]+)))?", re.I)
+ATTR = re.compile(r"(?P<key>[^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s\"'>]+))?)?")
+NAMING = set("class id role itemprop".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 # HTML's elements by their part in a page, and the names sites give to parts that are no article.
 RAW = "script style noscript template textarea title iframe object svg math canvas audio video select".split()
@@ -38,7 +39,16 @@ OTHER = set(
 )
 OWN = set("article articles articlebody post entry story main content".split())
 LAYOUT = set("has with no without".split())
+#: Inside an article, names that only parts around its text have; other words of OTHER may be its subject.
+SURE = set(
+    "ad ads adv advert adverts advertisement advertisements advertising adsense nav navbar navigation menubar breadcrumb breadcrumbs sidebar cookie cookies gdpr "
+    "comment comments disqus respond footer signup signin login subscribe newsletter popup pagination pager contentinfo complementary dialog alertdialog modal".split()
+)
+#: Words beside which a name in an article still names such a part, as in user-comments or comment-list; other words make it a subject.
+BESIDE = SURE | set("article body entry post story user reader site page main widget list section area wrapper container box block group thread form item links inner outer slot unit top bottom left right header title text count".split())
 MAIN = {"main", "article"}
+#: Never left out for their names; an article within another, such as a reader's comment, can be.
+HELD = {"main", "article", "h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 def _labels(attrs: str) -> tuple[set[str], bool]:
@@ -46,15 +56,26 @@ def _labels(attrs: str) -> tuple[set[str], bool]:
     words, hidden = set(), False
     for m in ATTR.finditer(attrs):
         value, key = m["a"] or m["b"] or m["c"] or "", m["key"].lower()
-        if key in ("hidden", "aria-hidden"):
-            hidden |= value.lower() in ("", "true", "hidden")
+        if key == "hidden":
+            hidden |= value.lower() != "until-found"
+        elif key == "aria-hidden":
+            hidden |= value.lower() == "true"
         elif key == "aria-modal":
-            words.add("modal")
-        else:
+            if value.lower() == "true":
+                words.add("modal")
+        elif key in NAMING:
             words.update(w.lower() for w in WORD.findall(value))
     return words, hidden
 
 
+def _chrome(words: set[str], in_article: bool) -> bool:
+    """Whether the words of an element's names say that it is no article text."""
+    if in_article:
+        named = words & SURE
+        return bool(named and not words & LAYOUT and not {w for w in words - BESIDE if not w.isdigit()})
+    return bool(words & (OTHER - {"header"}) and not words & LAYOUT or "header" in words and not words & OWN)
+
+
 def blocks(page: str | None) -> list[tuple[str, int, int]]:
     """Blocks of a page in order: text with single spaces, characters outside links, and 2 in an article, 1 in a main part, else 0.
 
@@ -128,9 +149,9 @@ def blocks(page: str | None) -> list[tuple[str, int, int]]:
         if name in VOID:
             continue
         words, hidden = _labels(attrs) if attrs.strip() else (set(), False)
-        named = bool(words & (OTHER - {"header"}) and not words & LAYOUT or "header" in words and not words & OWN)
+        named = _chrome(words, bool(article))
         page_header = name == "header" and not article
-        if hidden or name in CHROME or page_header or (named and name not in ("html", "body", "main", "h1")):
+        if name not in ("html", "body") and (hidden or name in CHROME or page_header or (named and (name not in HELD or article and name == "article"))):
             flush()
             skip, depth = name, 1
         elif name in MAIN:

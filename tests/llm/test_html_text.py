@@ -66,3 +66,18 @@ def test_odd_rows(spark):
     out = extract(spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS text", "0 AS n_chars")).collect()
     assert [(r.page_id, r.text[:6], r.n_chars) for r in out] == [(1, "", 0), (1, "", 0), (None, "x", 1), (2, "", 0), (3, "word 😀", 50_000 * 7 - 1)]
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_attributes_are_read_one_by_one():
+    for attrs in ('style="overflow:hidden"', 'title="a hidden place"', 'data-id="related"', "data-grid='ad'", 'data-href=?id=search', 'class="x" data-hidden', 'aria-hidden="false"', 'data-class="sidebar"', "title='id=\"ad\"'"):
+        assert main_text(f"<body {attrs}><article {attrs}><h1>T</h1><p {attrs}>{LONG}</p><div {attrs}>Own</div></article></body>") == f"T\n{LONG}\nOwn", attrs
+    for attrs in ("hidden", 'hidden=""', 'aria-hidden = "true"', "class=ads", "ID='comments'"):
+        assert main_text(f"<article><p>{LONG}</p><div {attrs}>Other</div></article>") == LONG, attrs
+    assert main_text(f'<body class="sidebar modal"><main class="search"><p>{LONG}</p></main></body>') == LONG
+
+
+def test_parts_of_an_article_named_by_their_subject():
+    body = f'<section id="discussion"><h2 id="related-work">Related</h2><p>{LONG}</p></section><section class="legal search form">Law</section><div class="comment-on-law">Of comments</div>'
+    assert main_text(f"<article>{body}</article>") == f"Related\n{LONG}\nLaw\nOf comments"
+    assert main_text(f'<article class="promo"><p>{LONG}</p></article>') == LONG
+    assert main_text(f'<article><p>{LONG}</p><div class="ad-slot">Buy</div><div class="user-comments">Talk</div></article>') == LONG
