@@ -47,6 +47,8 @@ SURE = set(
 #: Words beside which a name in an article still names such a part, as in user-comments or comment-list; other words make it a subject.
 BESIDE = SURE | set("article body entry post story user reader site page main widget list section area wrapper container box block group thread form item links inner outer slot unit top bottom left right header title text count".split())
 MAIN = {"main", "article"}
+#: Mark of a headline in a main element, outside its articles.
+HEADLINE = 3
 #: Never left out for their names; an article within another, such as a reader's comment, can be.
 HELD = {"main", "article", "h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -77,7 +79,7 @@ def _chrome(words: set[str], in_article: bool) -> bool:
 
 
 def blocks(page: str | None) -> list[tuple[str, int, int]]:
-    """Blocks of a page in order: text with single spaces, characters outside links, and 2 in an article, 1 in a main part, else 0.
+    """Blocks of a page in order: text with single spaces, characters outside links, and 2 in an article, 3 in another headline of a main part, 1 elsewhere in one, else 0.
 
     Markup is stripped here: tags, comments, scripts, styles, and elements whose kind or name
     says that they are menu, header, footer, sidebar, notice, advert, form or reader comment.
@@ -86,7 +88,7 @@ def blocks(page: str | None) -> list[tuple[str, int, int]]:
     """
     out: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    linked, links, skip, depth, article, at = 0, 0, "", 0, [], 0
+    linked, links, skip, depth, article, at, headline = 0, 0, "", 0, [], 0, False
     page = page or ""
 
     def flush() -> None:
@@ -94,7 +96,7 @@ def blocks(page: str | None) -> list[tuple[str, int, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, max(0, len(text) - linked), 2 if "article" in article else len(article[:1])))
+                out.append((text, max(0, len(text) - linked), 2 if "article" in article else HEADLINE if article and headline else len(article[:1])))
             parts.clear()
         linked = 0
 
@@ -132,6 +134,8 @@ def blocks(page: str | None) -> list[tuple[str, int, int]]:
         if closing:
             if name in BLOCK:
                 flush()
+            if name == "h1":
+                headline = False
             if name == "a":
                 links = max(0, links - 1)
             elif article and name in MAIN and name in article:
@@ -158,6 +162,8 @@ def blocks(page: str | None) -> list[tuple[str, int, int]]:
             article.append(name)
         elif name == "a":
             links += 1
+        elif name in BLOCK:
+            headline = name == "h1"
     flush()
     return out
 
@@ -171,32 +177,44 @@ def _raw_end(page: str, at: int, name: str) -> int:
 def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
     """Text between surge and dive points of the page's line blocks, one block a line.
 
-    Each block is a line whose length counts the characters outside links, none if links are half of it. Lengths are summed
-    over ``window`` lines from each line on. A region starts where the sum surges above
-    ``surge`` with text in the lines that follow, and lasts to the dive, the first line with
-    nothing in its window. Lines of a region stay whole, in page order. Where the page marks
-    its article with article elements, or else with a main element, lines outside weigh nothing and any sum above 0
-    is a surge, so that short paragraphs of the article stay.
+    Each block is a line whose length counts the characters outside links, none if they are a quarter of it or less. Lengths are
+    summed over ``window`` lines from each line on. A region starts at a line with more text outside links than inside where the sum
+    surges above ``surge``, and lasts to the dive, the first line with nothing in its window. All lines of a region stay whole, in page order.
+
+    Article elements, or else main elements, are trusted if they hold as much text as the rest of the page, or if the rest
+    is no more than ``window`` lines of ``surge`` characters. Lines in them count all characters, and any sum of them above 0 is a surge, so that short
+    paragraphs stay; lines outside are summed apart, by a quarter of their length. The headline of a main element belongs to what it holds.
     """
     lines = blocks(page)
     if not lines:
         return ""
-    marked = max(x[2] for x in lines)
-    weight = np.array([len(x[0]) * (x[2] == marked) if marked else x[1] * (2 * x[1] > len(x[0])) for x in lines], np.int64)
+    size = np.array([len(x[0]) for x in lines], np.int64)
+    plain = np.array([x[1] for x in lines], np.int64)
+    mark = np.array([x[2] for x in lines])
+    text = plain * (4 * plain > size)
+    keep = np.zeros(len(lines), bool)
+    for inside in (mark >= 2, mark >= 1):
+        outside = text[~inside].sum()
+        if (inside & (mark != HEADLINE)).any() and (outside <= window * surge or outside <= text[inside].sum()):
+            keep |= _regions(size * inside, inside, window, 0)
+            keep |= _regions(text * ~inside, ~inside & (2 * plain > size), window, 4 * surge)
+            break
+    else:
+        keep |= _regions(text, 2 * plain > size, window, surge)
+        if not keep.any():
+            keep = text > 0
+    return "\n".join(x[0] for x, k in zip(lines, keep) if k)
+
+
+def _regions(weight: np.ndarray, opens: np.ndarray, window: int, least: int) -> np.ndarray:
+    """Which lines lie between a line that ``opens`` a region, with a sum above ``least``, and the next with a sum of 0."""
     total = np.concatenate([[0], np.cumsum(weight)])
-    ends = np.minimum(np.arange(len(lines)) + window, len(lines))
-    sums = total[ends] - total[:-1]
-    least, keep, inside = 0 if marked else surge, [], False
-    for i, (text, _, _) in enumerate(lines):
-        if not inside and weight[i] and sums[i] > least:
-            inside = True
-        elif inside and sums[i] == 0:
-            inside = False
-        if inside and weight[i]:
-            keep.append(text)
-    if not keep and not marked:
-        keep = [x[0] for x, w in zip(lines, weight) if w]
-    return "\n".join(keep)
+    sums = total[np.minimum(np.arange(len(weight)) + window, len(weight))] - total[:-1]
+    keep, within = np.zeros(len(weight), bool), False
+    for i in range(len(weight)):
+        within = sums[i] > 0 if within else bool(opens[i] and weight[i] and sums[i] > least)
+        keep[i] = within
+    return keep
 
 
 def extract(pages: DataFrame, window: int = 3, surge: int = 86) -> DataFrame:

@@ -81,3 +81,22 @@ def test_parts_of_an_article_named_by_their_subject():
     assert main_text(f"<article>{body}</article>") == f"Related\n{LONG}\nLaw\nOf comments"
     assert main_text(f'<article class="promo"><p>{LONG}</p></article>') == LONG
     assert main_text(f'<article><p>{LONG}</p><div class="ad-slot">Buy</div><div class="user-comments">Talk</div></article>') == LONG
+
+
+def test_marks_that_hold_less_than_the_page():
+    body = "".join(f"<p>{LONG} {i}</p>" for i in range(6))
+    teasers = "".join(f'<article class="card"><h3>Teaser {i}</h3><p>Short.</p></article>' for i in range(3))
+    for tag in ("main", 'div class="content"'):
+        text = main_text(f"<body><{tag}><h1>Title</h1>{body}{teasers}</{tag.split()[0]}></body>").split("\n")
+        assert all(f"{LONG} {i}" in text for i in range(6)) and text[0] == "Title", tag
+    assert main_text(f"<main><h1>Title</h1><p>By me</p><article>{body}</article></main>").split("\n") == ["Title", "By me"] + [f"{LONG} {i}" for i in range(6)]
+    far = f"<main><div><h1>Title</h1></div><div>x</div><div>y</div><div>z</div><article>{body}</article></main>"
+    assert main_text(far).split("\n") == ["Title"] + [f"{LONG} {i}" for i in range(6)]
+
+
+def test_lines_with_many_links_stay_between_surge_and_dive():
+    linked = f'<p>Of this, <a href=x>{LONG}</a> says more</p>'
+    page = f"<body><p>{LONG} 1</p>{linked}<p><a href=y>Only a link</a></p><p>{LONG} 2</p><div><a href=z>Home</a></div></body>"
+    assert main_text(page).split("\n") == [f"{LONG} 1", f"Of this, {LONG} says more", "Only a link", f"{LONG} 2"]
+    refs = "".join(f"<li>Smith and others, <a href=x>A title {i}</a></li>" for i in range(6))
+    assert "A title 5" in main_text(f"<body><p>{LONG}</p><ul>{refs}</ul></body>")
