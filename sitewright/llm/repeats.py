@@ -3,11 +3,9 @@
 A text is parsed into phrases at triggers, places where the hash of the next bytes is 0 in its
 low bits; neighbouring phrases share a trigger, so no phrase starts another. Where a phrase ends
 depends on its content alone: equal passages hold equal phrases. The dictionary is the set of
-distinct phrases with their number, the parse the sequence of phrases of a text. A suffix of the
-corpus is a suffix of a dictionary phrase followed by a suffix of the parse, and two places of
-the corpus agree over a length if both parts do. Only that agreement counts here, not the
-alphabet, so suffixes are put in the order of their hashes: each shard sorts its range of the
-dictionary and of the parse suffixes, cut at the length asked for, and equal ones meet there.
+distinct phrases with their number. No suffix array is built and nothing is sorted in the order
+of the corpus: phrases, spans and single windows of the length asked for are hashed to 64 bits and
+counted in their shard, and the parse only says which windows need not be compared.
 """
 
 from __future__ import annotations
