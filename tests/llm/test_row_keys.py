@@ -2,11 +2,13 @@
 
 import random
 
+from test_mixing import plain
 from test_shingles import SCHEMA, SF_DIR, near, slow_set
 
 import corpus_pipeline
 from sitewright.llm import shingles
 from sitewright.llm.common import stored, table
+from sitewright.llm.queries import WEIGHTS, with_domain
 
 
 def test_rows_without_id(spark):
@@ -39,3 +41,10 @@ def test_rejected_rows_without_id_go(spark):
     assert lost
     bare = docs.selectExpr(f"if(doc_id in ({','.join(map(str, lost))}), null, doc_id) AS doc_id", "text", "lang", "source", "n_chars")
     assert corpus_pipeline.quality(spark, bare, SF_DIR).where("doc_id is null").count() == 0
+
+
+def test_mixture_of_the_given_documents(spark):
+    docs = table(spark, SF_DIR, "documents")
+    rows = [(r.doc_id, r.domain, r.lang, r.source, len(r.text.encode().split())) for r in with_domain(docs).collect()]
+    want = sorted(d for d, _, _ in plain(rows, WEIGHTS, sum(r[-1] for r in rows), 2))
+    assert sorted(r.doc_id for r in corpus_pipeline.mixture(spark, docs, SF_DIR).collect()) == want
