@@ -98,4 +98,29 @@ SQL = {
                || ',"status":"' || status || '","turn":' || turn || '}' AS json
         FROM j
     """,
+    "op13_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+        ), s AS (
+            SELECT k, doc_id, len(words) AS n, words FROM d WHERE len(words) > 0
+        ), g AS (
+            SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM s
+        ), p AS (
+            SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(words) AS term FROM s) GROUP BY k, term
+        ), q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), df AS (
+            SELECT term, count(*) AS df FROM p WHERE term IN (SELECT term FROM q) GROUP BY term
+        ), w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, g
+        ), m AS (
+            SELECT k, doc_id, 10 + (90 * n * docs) // total AS m FROM s, g
+        ), r AS (
+            SELECT item_id, k, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (k) GROUP BY item_id, k, doc_id
+        ), o AS (
+            SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM r WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+    """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import chat, chunks, html_text, katz, kneser_ney, maxscore, mixing, pieces, repeats, runs, simhash
+from sitewright.llm import chat, chunks, html_text, katz, kneser_ney, maxscore, mixing, pieces, repeats, runs, simhash, treap
 from sitewright.llm.common import table
 
 #: Weights of the mixture by path: domains, then languages within each; sources of a language weigh the same.
@@ -88,11 +88,15 @@ def op12_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.find_runs(table(spark, sf_dir, "documents"), plant=True, keep_text=False)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_quality_classifier, op3_exact_top_k, op4_katz_scoring, op5_suffix_array_dedup,
         op6_source_mixing, op7_sentencepiece, op8_chat_formatting, op9_document_fingerprints, op10_simhash_near_dedup,
-        op12_run_detection,
+        op12_run_detection, op13_lexical_search,
     )
 }
