@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.llm import chat, chunks, html_text, katz, kneser_ney, maxscore, mixing, pieces, repeats, runs, simhash, treap
+from sitewright.llm import chat, chunks, html_text, katz, kneser_ney, maxscore, mixing, pieces, repeats, runs, simhash, toxicity, treap
 from sitewright.llm.common import table
 
 #: Weights of the mixture by path: domains, then languages within each; sources of a language weigh the same.
@@ -84,6 +84,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.find_runs(table(spark, sf_dir, "documents"), plant=True, keep_text=False)
 
@@ -97,6 +101,6 @@ QUERIES = {
     for f in (
         op1_html_extraction, op2_quality_classifier, op3_exact_top_k, op4_katz_scoring, op5_suffix_array_dedup,
         op6_source_mixing, op7_sentencepiece, op8_chat_formatting, op9_document_fingerprints, op10_simhash_near_dedup,
-        op12_run_detection, op13_lexical_search,
+        op11_toxicity, op12_run_detection, op13_lexical_search,
     )
 }
