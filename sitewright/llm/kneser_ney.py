@@ -8,8 +8,11 @@ block gets those of its own grams back.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ BITS = 9
 #: Symbols: 0 stands before a text, 1 ends it, byte b is b + 2.
 SYMBOLS = 257
 GRAM = 0
+#: Bytes of text whose grams are sorted at a time.
+SLICE = 1 << 20
 GRAMS = "shard int, gram long, c long"
 
 
@@ -45,6 +50,29 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return out[own], sizes
 
 
+def gram_slices(texts: pa.ChunkedArray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """``grams_of`` the texts, about SLICE bytes at a time: which texts, their grams, and how many each has."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(ends)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield slice(a, b), *grams_of(texts.slice(a, b - a).to_pylist())
+
+
+def distinct_grams(texts: pa.ChunkedArray, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct grams of the texts, and how often each occurs in those that ``learns`` marks."""
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    for which, grams, sizes in gram_slices(texts):
+        own, place = np.unique(grams, return_inverse=True)
+        taught = np.bincount(place[np.repeat(learns[which], sizes)], minlength=len(own)).astype(np.uint64)
+        del grams, place
+        merged = np.union1d(keys, own)
+        total = np.zeros(len(merged), np.uint64)
+        total[np.searchsorted(merged, keys)] = counts
+        total[np.searchsorted(merged, own)] += taught
+        keys, counts = merged, total
+    return keys, counts
+
+
 def _stats(grams: DataFrame) -> DataFrame:
     """One row: the discounts of counts 1, 2 and more, from how many grams have count 1 to 4."""
     n = grams.agg(*[F.sum((F.col("c") == r).cast("double")).alias(f"n{r}") for r in range(1, 5)])
@@ -114,10 +142,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str
 
     def ask(block: int, rows: pa.Table) -> list[tuple]:
         kept, marked = read(rows)
-        grams, sizes = grams_of(kept["text"].to_pylist())
-        learns = np.repeat(marked & kept["train"].to_numpy(zero_copy_only=False), sizes)
-        keys, place = np.unique(grams, return_inverse=True)
-        return questions_to(block, GRAM, keys, shard_of(keys), np.bincount(place[learns], minlength=len(keys)).astype(np.uint64))[0]
+        keys, counts = distinct_grams(kept["text"], marked & kept["train"].to_numpy(zero_copy_only=False))
+        return questions_to(block, GRAM, keys, shard_of(keys), counts)[0]
 
     def totals(rows: pa.Table) -> pa.Table:
         _, keys, notes = of_kind(rows, GRAM)
@@ -138,13 +164,15 @@ def perplexities(docs: DataFrame, trusted: DataFrame, train: Column, id_col: str
 
     def score(block: int, rows: pa.Table, replies: pa.Table) -> list[tuple]:
         kept, marked = read(rows)
-        grams, sizes = grams_of(kept["text"].to_pylist())
-        keys, place = np.unique(grams, return_inverse=True)
-        logs = np.empty(len(keys))
-        logs[questions_to(block, GRAM, keys, shard_of(keys), keys)[1]] = answers(replies, GRAM, np.float32)
-        logs = logs[place]
-        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=logs, minlength=len(sizes))
-        return list(zip(kept["doc_id"].to_pylist(), kept["lang"].to_pylist(), marked.tolist(), sizes.tolist(), total.tolist(), *([kept["key"].to_pylist()] if key_col else [])))
+        keys, _ = distinct_grams(kept["text"], np.zeros(kept.num_rows, bool))
+        logs = np.empty(len(keys), np.float32)
+        logs[np.lexsort((keys, shard_of(keys)))] = answers(replies, GRAM, np.float32)
+        size, total = [], []
+        for _, grams, sizes in gram_slices(kept["text"]):
+            own = logs[np.searchsorted(keys, grams)].astype(np.float64)
+            size += sizes.tolist()
+            total += np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=own, minlength=len(sizes)).tolist()
+        return list(zip(kept["doc_id"].to_pylist(), kept["lang"].to_pylist(), marked.tolist(), size, total, *([kept["key"].to_pylist()] if key_col else [])))
 
     asked = asked_by(blocks, ask)
     found = probabilities(asked.groupBy("shard").applyInArrow(totals, GRAMS))

@@ -3,7 +3,7 @@
 import sentencepiece
 from test_mixing import plain
 from test_repeats import brute
-from test_simhash import slow_components, slow_fingerprint
+from test_shingles import slow_roots
 
 import corpus_pipeline
 from sitewright.llm import kneser_ney, pieces
@@ -27,7 +27,7 @@ def test_stages(spark):
     bad = [d for d, q in labels.items() if q == 0]
     assert all(d in keep for d, q in labels.items() if q == 1) and 2 * sum(d in keep for d in bad) < len(bad)
 
-    roots = slow_components({d: slow_fingerprint(t) for d, t in texts[1].items()})
+    roots = slow_roots(texts[1])
     assert texts[2] == {d: t for d, t in texts[1].items() if roots[d] == d}
 
     cut = brute([t.encode() for t in texts[2].values()], 200)
@@ -43,13 +43,34 @@ def test_stages(spark):
     assert sorted(r.doc_id for r in out) == want and all(r.round_trip and r.ids == library.encode(texts[4][r.doc_id]) for r in out)
 
 
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
 def test_odd_rows(spark):
+    """Rows without an id, repeated and empty ones, and columns whose names the stages use themselves."""
     docs = table(spark, SF_DIR, "documents")
     odd = spark.createDataFrame([(None, None, None, None, None), (None, "no id at all", "en", "src1", 12), (900, "same row here", "en", "src1", 13), (900, "same row here", "en", "src1", 13), (901, "", None, "src2", 0)], docs.schema)
-    for frame in (docs.limit(20).union(odd), docs.where("false")):
-        for _, stage in corpus_pipeline.STAGES:
-            before, frame = frame, stored(stage(spark, frame, SF_DIR))
-        assert frame.count() >= 0 and before.columns == docs.columns
+    names = ("key", "times", "held", "time", "domain", "row", "component", "count", "first", "kept", "block")
+    extra = docs.limit(20).union(odd).selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    frame, seen = extra, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stored(stage(spark, frame, SF_DIR))
+        assert frame.columns == extra.columns and set(frame.dtypes) == set(extra.dtypes)
+        seen.append(rows_of(frame))
+    plain = lambda rows: [r for r in rows if r[0] in (None, 900, 901)]
+    assert plain(seen[0]) == plain(rows_of(extra))  # too few trusted texts for bounds: all stay
+    kept = [r for r in plain(seen[0]) if r[0] == 900][:1] + [r for r in plain(seen[0]) if r[1] and r[0] is None]
+    empty = [r for r in plain(seen[0]) if not r[1]]
+    assert sorted(plain(seen[1]), key=str) == sorted(kept + [r for r in empty if r[0] == 901], key=str)
+    assert plain(seen[2]) == plain(seen[1])
+    assert all(r in seen[2] for r in seen[3])
+    out = corpus_pipeline.STAGES[-1][1](spark, frame, SF_DIR).collect()
+    assert len(out) == len(seen[3]) and all(r.round_trip for r in out)
+    none = docs.where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        before, none = none, stored(stage(spark, none, SF_DIR))
+    assert none.count() == 0 and before.columns == docs.columns
 
 
 def test_run(spark):
