@@ -117,6 +117,52 @@ def composite(spark, sf_dir) -> DataFrame:
     )
 
 
+def fasta_pieces(spark, sf_dir) -> DataFrame:
+    """Pieces of five FASTA files ``(file, start, data, fresh)``, a contig per part: its header, the first and the other letters of its one line."""
+    p = table(spark, sf_dir, "part")
+    first = F.expr("repeat(substr('ACGT', cast(1 + p_partkey % 4 as int), 1), p_size)")
+    rest = F.expr("repeat(substr('TGNA', cast(1 + p_size % 4 as int), 1), cast(p_partkey % 37 as int))")
+    texts = F.array(F.concat(F.lit(">k"), F.col("p_partkey"), F.lit(" "), F.col("p_name"), F.lit("\n")), first, F.concat(rest, F.lit("\n")))
+    made = p.select(F.concat(F.lit("f"), F.col("p_partkey") % 5).alias("file"), "p_partkey", F.posexplode(texts).alias("at", "text"))
+    return made.select("file", (F.col("p_partkey") * 1000 + F.col("at")).alias("start"), F.col("text").cast("binary").alias("data"), (F.col("at") < 2).alias("fresh"))
+
+
+def _site_letters(spark, sf_dir, taxa: int) -> DataFrame:
+    """``(contig_ord, t, letters, loci)``: a taxon's letters at the parts of each contig."""
+    p = table(spark, sf_dir, "part")
+    letter = "substr('ACGT-', cast(1 + (p_partkey * (t + 3) + p_size) % 5 as int), 1)"
+    each = p.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(taxa - 1))))
+    members = F.sort_array(F.collect_list(F.struct("p_partkey", F.expr(letter).alias("b"))))
+    locus = F.transform("m", lambda x: F.concat(F.lit("c"), F.expr("contig_ord"), F.lit("/"), (1 + x["p_partkey"] % SPAN).cast("string")))
+    grouped = each.groupBy(F.expr(f"p_partkey div {SPAN}").alias("contig_ord"), "t").agg(members.alias("m"))
+    return grouped.select("contig_ord", "t", F.array_join(F.col("m.b"), "").alias("letters"), F.array_join(locus, " ").alias("loci"))
+
+
+def _piece(start, text, fresh) -> list:
+    return [F.lit("a").alias("file"), start.cast("bigint").alias("start"), text.cast("binary").alias("data"), fresh.alias("fresh")]
+
+
+def phylip_pieces(spark, sf_dir, taxa: int = 6) -> DataFrame:
+    """Pieces of an interleaved PHYLIP file with names of ten letters: a block per contig, a line per taxon."""
+    rows = _site_letters(spark, sf_dir, taxa)
+    name = F.when(F.col("contig_ord") == 0, F.rpad(F.concat(F.lit("tax "), F.col("t")), 10, " ")).otherwise(F.lit(""))
+    lines = rows.select(*_piece((F.col("contig_ord") + 1) * 1000 + F.col("t"), F.concat(name, "letters", F.lit("\n")), F.lit(True)))
+    head = table(spark, sf_dir, "part").agg(F.concat(F.lit(f" {taxa} "), F.count("*"), F.lit("\n")).alias("text"))
+    return lines.unionByName(head.select(*_piece(F.lit(0), F.col("text"), F.lit(True))))
+
+
+def nexus_pieces(spark, sf_dir, taxa: int = 6) -> DataFrame:
+    """Pieces of a NEXUS file: the list of loci and each taxon's letters are one line each, cut by contigs."""
+    rows = _site_letters(spark, sf_dir, taxa)
+    last = table(spark, sf_dir, "part").agg(F.expr(f"max(p_partkey) div {SPAN}")).scalar()
+    ends = F.when(F.col("contig_ord") == last, F.lit("\n")).otherwise(F.lit(""))
+    first = F.col("contig_ord") == 0
+    letters = rows.select(*_piece((F.col("t") + 2) * 10**12 + F.col("contig_ord"), F.concat(F.when(first, F.concat(F.lit("t"), "t", F.lit("\t"))).otherwise(F.lit("")), "letters", ends), first))
+    loci = rows.where("t = 0").select(*_piece(F.lit(10**12) + F.col("contig_ord"), F.concat(F.when(first, F.lit("[ ")).otherwise(F.lit("")), "loci", F.when(ends != "", F.lit(" ]\n")).otherwise(F.lit(" "))), first))
+    around = rows.where("t = 0 and contig_ord = 0").select(F.explode(F.array(F.struct(F.lit(0).cast("bigint").alias("s"), F.lit("#NEXUS\n[a remark]\nBEGIN DATA;\n matrix\n").alias("x")), F.struct(F.lit(10**15).alias("s"), F.lit(";\nend;\n[more]\nt9\tACGT\n").alias("x")))).alias("e"))
+    return letters.unionByName(loci).unionByName(around.select(*_piece(F.col("e.s"), F.col("e.x"), F.lit(True))))
+
+
 def contig_table(spark, sf_dir) -> DataFrame:
     """Contigs with a length of 1 to 50 bases, one per part."""
     part = table(spark, sf_dir, "part")

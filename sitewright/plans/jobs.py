@@ -231,8 +231,13 @@ def slice_alignment(spark, all_loci: str, wanted: str, path: str, dataset: str,
     return sliced
 
 
+def _strict(path: str) -> bool:
+    """Comparisons read ``.phy`` and ``.phylip`` files with names of ten letters, other PHYLIP files with names up to a blank."""
+    return path.rsplit(".", 1)[-1] in ("phy", "phylip")
+
+
 def compare_taxa(spark, path: str, out: str) -> DataFrame:
-    sites, taxa = alignments.read_alignment(spark, path)
+    sites, taxa = alignments.read_alignment(spark, path, strict=_strict(path))
     pairs = CO.pairwise_identity(sites, taxa)
     DOC.write_table(pairs, out)
     return pairs
@@ -240,7 +245,7 @@ def compare_taxa(spark, path: str, out: str) -> DataFrame:
 
 def classify_samples(spark, path: str, references: str, out: str) -> DataFrame:
     """``references``: names joined by ``;``."""
-    sites, taxa = alignments.read_alignment(spark, path)
+    sites, taxa = alignments.read_alignment(spark, path, strict=_strict(path))
     classes = CO.classify_samples(sites, taxa, references.split(";"))
     DOC.write_table(classes, out)
     return classes

@@ -504,3 +504,15 @@ SQL["mapping_reports"] = _with(
        FROM numbered WHERE pos BETWEEN 2 AND 6 OR pos BETWEEN 9 AND 13""",
 )
 SQL["site_report_lines"] = _with(LINES, "SELECT taxon, CAST(line_no AS INT) AS line_no, line FROM lines WHERE line LIKE 'Le%'")
+
+# ---- files read in pieces
+
+SQL["fasta_reading"] = """
+SELECT 'f' || p_partkey % 5 AS file, 'k' || p_partkey AS contig, CAST(k AS BIGINT) AS "offset", substr(seq, k + 1, 16) AS seq
+FROM (SELECT p_partkey, seq, unnest(range(0, len(seq), 16)) AS k
+      FROM (SELECT p_partkey, repeat(substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1), p_size) || repeat(substr('TGNA', CAST(1 + p_size % 4 AS INT), 1), CAST(p_partkey % 37 AS INT)) AS seq FROM part))"""
+LETTERS = "string_agg(substr('ACGT-', CAST(1 + (p_partkey * (t + 3) + p_size) % 5 AS INT), 1), '' ORDER BY t)"
+SITES_READ = f"""SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS site_ord, 'c' || p_partkey // 50 || '/' || 1 + p_partkey % 50 AS locus, "column"
+FROM (SELECT p_partkey, {LETTERS} AS "column" FROM part, range(6) r(t) GROUP BY p_partkey)"""
+SQL["phylip_reading"] = f'SELECT site_ord, "column" FROM ({SITES_READ})'
+SQL["nexus_reading"] = SITES_READ

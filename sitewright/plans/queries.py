@@ -24,6 +24,7 @@ from sitewright.operators import selection as S
 from sitewright.plans import adapters as X
 from sitewright.session import materialise
 from sitewright.sinks import documents as DOC
+from sitewright.sources import alignments, ranges
 from sitewright.sources.evidence import parse_pileup, parse_triangle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,6 +145,25 @@ def taxon_genomes(spark, sf_dir):
 # ---- contigs and sites
 
 
+@query
+def fasta_reading(spark, sf_dir):
+    """Chunks of contigs whose header and letters lie in different pieces of a file."""
+    return ranges.fasta_chunks(X.fasta_pieces(spark, sf_dir), 16).drop("contig_ord")
+
+
+@query
+def phylip_reading(spark, sf_dir):
+    """Columns of an interleaved alignment with names of ten letters."""
+    return alignments.sequence_columns(ranges.phylip_fragments(X.phylip_pieces(spark, sf_dir), strict=True), 6)
+
+
+@query
+def nexus_reading(spark, sf_dir):
+    """Columns of an alignment whose loci and sequences go on over many pieces, with their loci."""
+    sequences, loci = ranges.nexus_fragments(X.nexus_pieces(spark, sf_dir))
+    return alignments.sequence_columns(sequences, 6).join(loci, "site_ord", "left")
+
+
 @query
 def contig_lengths(spark, sf_dir):
     return G.contig_lengths(X.composite(spark, sf_dir)).drop("contig_ord")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sitewright.operators.genome import rechunk
 from sitewright.schema import ALIGNMENT_FORMATS
 from sitewright.functions.text import locus_name
+from sitewright.sources import ranges
 from sitewright.sources.lines import is_folder, read_ordered, read_records
 from sitewright.sources.sequences import parse_fasta
 
@@ -50,9 +50,23 @@ def parse_phylip(lines: DataFrame) -> DataFrame:
     return _named(lines.filter((F.col("line_no") > 0) & (F.length(F.trim("value")) > 0)))
 
 
-def read_sequences(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None]:
-    """Aligned sequences ``(taxon, line_no, seq)`` and, for NEXUS, the loci."""
+def read_sequences(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Aligned sequences ``(taxon, line_no, seq)`` in parts, and the loci for NEXUS.
+
+    Files are read in byte ranges, so neither a sequence nor the list of loci has to fit into a
+    record. ``strict`` PHYLIP names are ten letters long and may hold blanks. Compressed files and
+    stores that only Spark opens are read line by line.
+    """
     kind = alignment_format(path)
+    listing = ranges.listed(spark, path)
+    if ranges.can_cut(listing):
+        blobs = ranges.blobs_of(listing)
+        if kind == "nexus":
+            return ranges.nexus_fragments(blobs)
+        if kind == "phylip":
+            return ranges.phylip_fragments(blobs, strict), None
+        rows = ranges.fasta_fragments(blobs, ranges.FRAGMENT)
+        return rows.select((F.col("contig_ord") + F.col("offset")).alias("line_no"), F.col("contig").alias("taxon"), "seq"), None
     if kind == "fasta":
         records = parse_fasta(read_ordered(spark, path, line_sep="\n>"))
         return records.select(F.col("contig_ord").alias("line_no"), F.col("contig").alias("taxon"), "seq"), None
@@ -63,15 +77,23 @@ def read_sequences(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 def sequence_columns(sequences: DataFrame, n_taxa: int, block: int = BLOCK) -> DataFrame:
     """Turn sequences into site columns ``(site_ord, column)``, taxa in sorted order.
 
-    Only the lengths of a taxon's lines are put in order. Sequences are cut into blocks; the blocks of all taxa at one offset meet in one
-    group of ``n_taxa`` members and are transposed there.
+    Only the lengths of a taxon's lines are put in order. Sequences are cut at multiples of ``block``; the blocks of all taxa at one
+    offset meet in one group of ``n_taxa`` members and are transposed there. Lines of different taxa may end at different places.
     """
     earlier = W.partitionBy("taxon").orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
     lengths = sequences.select("taxon", "line_no", F.length("seq").alias("n"))
     offsets = lengths.select("taxon", "line_no", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("bigint").alias("offset"))
     placed = sequences.join(offsets, ["taxon", "line_no"])
-    pieces = rechunk(placed.filter(F.length("seq") > 0), block)
-    stacked = pieces.groupBy("offset").agg(F.sort_array(F.collect_list(F.struct("taxon", "seq"))).alias("rows"))
+    numbers = F.sequence(F.expr(f"offset div {block}"), F.expr(f"(offset + length(seq) - 1) div {block}"))
+    pieces = placed.filter(F.length("seq") > 0).withColumn("block", F.explode_outer(numbers))
+    low = F.greatest(F.col("block") * block, F.col("offset"))
+    high = F.least((F.col("block") + 1) * block, F.col("offset") + F.length("seq"))
+    cut = F.substring("seq", (low - F.col("offset") + 1).cast("int"), (high - low).cast("int"))
+    # partitioned by block, so neither aggregation shuffles again
+    cells = pieces.select("block", "taxon", low.alias("at"), cut.alias("seq")).repartition("block")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "seq"))), lambda p: p["seq"]), "")
+    rows = cells.groupBy("block", "taxon").agg(joined.alias("seq"))
+    stacked = rows.groupBy((F.col("block") * block).alias("offset")).agg(F.sort_array(F.collect_list(F.struct("taxon", "seq"))).alias("rows"))
     same = (F.size("rows") == n_taxa) & (F.size(F.array_distinct(F.transform("rows", lambda r: F.length(r["seq"])))) == 1)
     checked = stacked.withColumn(
         "letters",
@@ -95,7 +117,7 @@ def read_stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     return spark.read.parquet(path).select("contig_ord", "contig", "pos", locus_name().alias("locus"), "column"), taxa
 
 
-def read_alignment(spark: SparkSession, path: str, block: int = BLOCK) -> tuple[DataFrame, list[str]]:
+def read_alignment(spark: SparkSession, path: str, block: int = BLOCK, strict: bool = False) -> tuple[DataFrame, list[str]]:
     """Site columns ``(site_ord, locus, column)`` and the sorted taxa of an alignment file.
 
     Without a list of loci the site's ordinal is its locus. A folder without one of the known
@@ -103,7 +125,7 @@ def read_alignment(spark: SparkSession, path: str, block: int = BLOCK) -> tuple[
     """
     if path.rstrip("/").rsplit(".", 1)[-1] not in ALIGNMENT_FORMATS and is_folder(spark, path):
         return read_stored(spark, path)
-    sequences, loci = read_sequences(spark, path)
+    sequences, loci = read_sequences(spark, path, strict)
     taxa = sorted(r[0] for r in sequences.select("taxon").distinct().collect())
     columns = sequence_columns(sequences, len(taxa), block)
     if loci is None:

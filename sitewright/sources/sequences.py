@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.operators.genome import SPAN, rechunk
+from sitewright.sources import ranges
 from sitewright.sources.lines import read_ordered, read_records
 
 
@@ -20,7 +21,14 @@ def parse_fasta(records: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path, glob: str | None = None, span: int = SPAN) -> DataFrame:
-    """Sequences as chunks ``(file, contig_ord, contig, offset, seq)`` of bounded size."""
+    """Sequences as chunks ``(file, contig_ord, contig, offset, seq)`` of bounded size.
+
+    Files are read in byte ranges, so a contig may be longer than any record, on one line or many;
+    compressed files and stores that only Spark opens are read contig by contig.
+    """
+    listing = ranges.listed(spark, path, glob)
+    if ranges.can_cut(listing):
+        return ranges.fasta_chunks(ranges.blobs_of(listing), span)
     whole = parse_fasta(read_ordered(spark, path, line_sep="\n>", glob=glob))
     return rechunk(whole.withColumn("offset", F.lit(0).cast("bigint")), span)
 
