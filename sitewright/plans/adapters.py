@@ -291,6 +291,12 @@ def separated_rows(spark, sf_dir, groups: int, dims: int) -> DataFrame:
     return e.select(F.col("vec_id").alias("id"), F.array(*[F.when(corner % dims == d, F.lit(20.0) * (1 + F.floor(corner / dims))).otherwise(0.0) + a for d, a in enumerate(around)]).alias("features"))
 
 
+def wide_rows(spark, sf_dir, groups: int = 3) -> DataFrame:
+    """Rows of 64 dimensions in well separated groups: the label decides which dimensions lie high."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x, i: x.cast("double") + F.when(i % groups == F.col("label") % groups, 6.0).otherwise(0.0)).alias("features"))
+
+
 def isolates(spark, sf_dir) -> DataFrame:
     """Isolates ``(id, path, ord)``: one per supplier."""
     s = table(spark, sf_dir, "supplier")

@@ -437,7 +437,14 @@ SQL["silhouettes"] = """WITH v AS (SELECT vec_id AS id, label, CAST(embedding AS
   ab AS (SELECT id, label, MAX(CASE WHEN other = label AND n > 1 THEN total / (n - 1) END) AS a,
          MIN(CASE WHEN other <> label THEN total / n END) AS b FROM per GROUP BY id, label)
   SELECT id, label AS cluster, round(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM ab"""
-SQL["hierarchical_clusters"] = "SELECT vec_id AS id, vec_id AS cluster FROM embeddings"
+SQL["hierarchical_clusters"] = """
+WITH RECURSIVE links AS (
+  SELECT vec_id AS a, CAST(k AS BIGINT) AS b FROM (SELECT vec_id, unnest(range(64)) AS k, unnest(embedding) AS x FROM embeddings)
+  WHERE k < vec_id AND round(abs(x::DOUBLE) * 1000000) < 400),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.id, ends.b FROM reach JOIN ends ON ends.a = reach.r)
+SELECT id, MIN(r) AS cluster FROM reach GROUP BY id"""
+SQL["mixture_of_rows"] = "SELECT vec_id AS id, MIN(vec_id) OVER (PARTITION BY label % 3) AS cluster FROM embeddings"
 SQL["kmeans_clusters"] = "SELECT vec_id AS id, MIN(vec_id) OVER (PARTITION BY label % 4) AS cluster FROM embeddings"
 SQL["mixture_clusters"] = "SELECT vec_id AS id, MIN(vec_id) OVER (PARTITION BY label % 3) AS cluster FROM embeddings"
 SQL["optimal_k"] = """WITH v AS (SELECT vec_id AS id, label % 4 AS g, list_transform(range(4), lambda d: (CASE WHEN label % 4 = d THEN 20.0 ELSE 0.0 END)
@@ -516,3 +523,12 @@ SITES_READ = f"""SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS site_ord,
 FROM (SELECT p_partkey, {LETTERS} AS "column" FROM part, range(6) r(t) GROUP BY p_partkey)"""
 SQL["phylip_reading"] = f'SELECT site_ord, "column" FROM ({SITES_READ})'
 SQL["nexus_reading"] = SITES_READ
+
+SQL["merge_steps"] = f"""
+WITH RECURSIVE {TRIANGLE}, d AS (SELECT DISTINCT dist FROM edges),
+reach(dist, id, r) AS (
+  SELECT d.dist, s_suppkey, s_suppkey FROM d, supplier
+  UNION SELECT reach.dist, reach.id, sym.id_b FROM reach JOIN sym ON sym.id_a = reach.r AND sym.dist <= reach.dist),
+left_at AS (SELECT dist, COUNT(DISTINCT root) AS n FROM (SELECT dist, id, MIN(r) AS root FROM reach GROUP BY dist, id) GROUP BY dist),
+steps AS (SELECT dist, n, lag(n, 1, (SELECT COUNT(*) FROM supplier)) OVER (ORDER BY dist) - n AS merged FROM left_at)
+SELECT CAST(dist AS BIGINT) AS dist, merged AS n_merges, n AS n_left FROM steps WHERE merged > 0"""

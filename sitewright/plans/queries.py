@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sitewright.functions import cigar as C
 from sitewright.functions.text import isolate_id
+from sitewright.operators import agglomerate as AG
 from sitewright.operators import alignment as AL
 from sitewright.operators import allocation as B
 from sitewright.operators import assembly as A
@@ -511,7 +512,20 @@ def mixture_clusters(spark, sf_dir):
 
 @query
 def hierarchical_clusters(spark, sf_dir):
-    return K.cluster_unknown(X.vector_rows(spark, sf_dir), method="hierarchical")
+    """Isolates merged along distances below a cut, by a minimum spanning forest."""
+    return K.cluster_unknown(X.groups(spark, sf_dir), method="hierarchical", edges=X.edges(spark, sf_dir), cut=400.0)
+
+
+@query
+def merge_steps(spark, sf_dir):
+    """How many clusters of suppliers' isolates merge at each distance of their complete triangle."""
+    return AG.merges(X.full_edges(spark, sf_dir).withColumn("dist", F.col("dist").cast("bigint")))
+
+
+@query
+def mixture_of_rows(spark, sf_dir):
+    """A mixture of rows of 64 dimensions, fitted to their principal coordinates."""
+    return K.by_smallest(K.mixture(X.wide_rows(spark, sf_dir), max_clusters=4)[0])
 
 
 # ---- reference selection

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,17 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sit
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+    """Cut the lineage of ``df`` with a reliable checkpoint."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
 
-    The shared folder comes from ``spark.checkpoint.dir`` of the session; only a local
-    session without it gets a temporary folder.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for checkpoints and tables between steps.
+
+    It comes from ``spark.checkpoint.dir`` of the session; only a local session without it
+    gets a temporary folder.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,7 +47,17 @@ def materialise(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
             folder = tempfile.mkdtemp(prefix="sitewright-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame, by: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, in ranges of ``by`` and sorted by it.
+
+    A filter on one value of ``by`` then reads the row groups that hold it and no others.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.repartitionByRange(by).sortWithinPartitions(by).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 ROWS_TO_BROADCAST = 200_000
