@@ -2,45 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions.text import pair_name
 from sitewright.schema import ANALYTIC_SYMBOLS
 
-TILE = 512
+TILE, SITES = 512, 1024
 
 
-def _tile_counter(width_a: int, width_b: int):
-    """Task body: co-called and identical sites of every pair in one tile.
+def _pair_counter(n_taxa: int, tile: int):
+    """Task body: co-called and identical sites of every pair of taxa, all tiles from one pass over the columns.
 
-    Each batch of columns becomes 0/1 matrices and one matrix product per symbol, so no
-    pair of taxa is written out per site.
+    Columns become 0/1 matrices, ``SITES`` at a time, and each pair of tiles takes one matrix
+    product per symbol, so no pair of taxa is written out per site. A task holds the counts of
+    all pairs, 16 bytes a pair.
     """
 
-    def count(batches):
-        both = np.zeros((width_a, width_b), dtype=np.int64)
-        same = np.zeros((width_a, width_b), dtype=np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = [slice(x, min(x + tile, n_taxa)) for x in range(0, n_taxa, tile)]
+        tables = {(x, y): np.zeros((2, cuts[x].stop - cuts[x].start, cuts[y].stop - cuts[y].start), np.int64) for x in range(len(cuts)) for y in range(x, len(cuts))}
         for batch in batches:
-            if batch.empty:
-                continue
-            a = np.frombuffer("".join(batch["a"]).encode("ascii"), np.uint8).reshape(-1, width_a)
-            b = np.frombuffer("".join(batch["b"]).encode("ascii"), np.uint8).reshape(-1, width_b)
-            called_a = np.zeros(a.shape, np.float32)
-            called_b = np.zeros(b.shape, np.float32)
-            for symbol in ANALYTIC_SYMBOLS.encode():
-                hit_a, hit_b = (a == symbol), (b == symbol)
-                if hit_a.any() and hit_b.any():
-                    same += (hit_a.astype(np.float32).T @ hit_b.astype(np.float32)).astype(np.int64)
-                called_a += hit_a
-                called_b += hit_b
-            both += (called_a.T @ called_b).astype(np.int64)
-        i, j = np.nonzero(both)
-        yield pd.DataFrame({"i": i, "j": j, "cocalled": both[i, j], "identical": same[i, j]})
+            for low in range(0, batch.num_rows, SITES):
+                part = batch["column"].slice(low, SITES)
+                letters = np.frombuffer("".join(part.to_pylist()).encode("ascii"), np.uint8).reshape(len(part), n_taxa)
+                present = [s for s in ANALYTIC_SYMBOLS.encode() if (letters == s).any()]
+                hits = [(letters == s).astype(np.float32) for s in present]
+                called = sum(hits, np.zeros(letters.shape, np.float32))
+                for (x, y), (both, same) in tables.items():
+                    both += np.rint(called[:, cuts[x]].T @ called[:, cuts[y]]).astype(np.int64)
+                    for hit in hits:
+                        same += np.rint(hit[:, cuts[x]].T @ hit[:, cuts[y]]).astype(np.int64)
+        for (x, y), (both, same) in tables.items():
+            rows = np.flatnonzero(both.any(1))
+            if len(rows):
+                yield pa.RecordBatch.from_pydict({
+                    "i": pa.array(rows + cuts[x].start, pa.int32()), "at": pa.array(np.full(len(rows), cuts[y].start), pa.int32()),
+                    "both": pa.array(both[rows].tolist(), pa.list_(pa.int64())), "same": pa.array(same[rows].tolist(), pa.list_(pa.int64())),
+                })
 
     return count
 
@@ -48,26 +51,17 @@ def _tile_counter(width_a: int, width_b: int):
 def pairwise_identity(sites: DataFrame, taxa: Sequence[str], tile: int = TILE) -> DataFrame:
     """Co-called sites, identical sites and their ratio for every pair of taxa.
 
-    Taxa are cut into tiles; each pair of tiles is one pass of matrix products over the
-    sites, summed per task and then over tasks. Tasks hold two tile-sized count tables
-    and hand on at most one row per pair. Pairs without a co-called site come out as 0.
+    The sites are read once. Each task sums the matrix products of all tiles of taxa over its
+    sites and hands on a row of counts for each taxon and tile, at most one number per pair;
+    these are summed before they are shuffled. Pairs without a co-called site come out as 0.
     """
     taxa = list(taxa)
-    edges = list(range(0, len(taxa), tile))
-    parts = None
-    for x in edges:
-        for y in edges[edges.index(x):]:
-            wa, wb = min(tile, len(taxa) - x), min(tile, len(taxa) - y)
-            cut = sites.select(
-                F.substring("column", x + 1, wa).alias("a"), F.substring("column", y + 1, wb).alias("b")
-            )
-            found = cut.mapInPandas(_tile_counter(wa, wb), "i int, j int, cocalled bigint, identical bigint")
-            found = found.select((F.col("i") + x).alias("i"), (F.col("j") + y).alias("j"), "cocalled", "identical")
-            parts = found if parts is None else parts.unionByName(found)
+    rows = sites.select("column").mapInArrow(_pair_counter(len(taxa), tile), "i int, at int, both array<bigint>, same array<bigint>")
+    cells = rows.select("i", "at", F.posexplode(F.arrays_zip("both", "same")).alias("k", "c")).select("i", (F.col("at") + F.col("k")).alias("j"), "c.both", "c.same")
     sums = (
-        parts.filter(F.col("i") < F.col("j"))
+        cells.filter((F.col("i") < F.col("j")) & (F.col("both") > 0))
         .groupBy("i", "j")
-        .agg(F.sum("cocalled").alias("cocalled"), F.sum("identical").alias("identical"))
+        .agg(F.sum("both").alias("cocalled"), F.sum("same").alias("identical"))
     )
     spark = sites.sparkSession
     index = F.array(*[F.lit(str(t)) for t in taxa])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sitewright.functions.text import locus_name
 from sitewright.schema import locus_keys
+from sitewright.session import local_table
 
 SPAN = 4096
 
@@ -66,20 +67,25 @@ def unknown_contigs(chunks: DataFrame, consensus: DataFrame) -> DataFrame:
     return consensus.select("contig").distinct().join(chunks.select("contig").distinct(), "contig", "left_anti")
 
 
-def overlay(chunks: DataFrame, consensus: DataFrame, taxa, span: int = SPAN) -> DataFrame:
+def overlay(chunks: DataFrame, consensus: DataFrame, taxa, span: int = SPAN, tile: int = 64) -> DataFrame:
     """Composite sequence per taxon with the taxon's consensus bases put in.
 
-    Chunks are aligned to multiples of ``span``. Edits are grouped per taxon and chunk
-    (at most ``span`` of them) and spliced between the untouched stretches.
+    Chunks are aligned to multiples of ``span``. Edits of up to ``tile`` taxa are grouped per chunk,
+    at most ``span`` for each taxon, and meet the chunk in one join; taxa are listed after it, so
+    the genome is shuffled once for every ``tile`` taxa. Bases are spliced between the untouched stretches.
     """
+    taxa = list(taxa)
+    spark = chunks.sparkSession
+    slots = local_table(spark, [(t, i // tile) for i, t in enumerate(taxa)], "taxon string, tile int")
     pieces = rechunk(chunks, span).withColumn("chunk", F.expr(f"offset div {span}"))
-    edits = (
-        consensus.withColumn("chunk", F.expr(f"(pos - 1) div {span}"))
-        .groupBy("contig", "chunk", "taxon")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "base"))).alias("edits"))
-    )
-    every = pieces.withColumn("taxon", F.explode(F.array(*[F.lit(t) for t in taxa])))
-    joined = every.join(edits, ["contig", "chunk", "taxon"], "left")
+    pieces = pieces.withColumn("tile", F.explode_outer(F.sequence(F.lit(0), F.lit((len(taxa) - 1) // tile))))
+    placed = consensus.join(slots, "taxon").withColumn("chunk", F.expr(f"(pos - 1) div {span}"))
+    # partitioned by chunk and tile, so the second aggregation does not shuffle again
+    each = placed.repartition("contig", "chunk", "tile").groupBy("contig", "chunk", "tile", "taxon").agg(F.sort_array(F.collect_list(F.struct("pos", "base"))).alias("edits"))
+    edits = each.groupBy("contig", "chunk", "tile").agg(F.map_from_entries(F.collect_list(F.struct("taxon", "edits"))).alias("by_taxon"))
+    members = F.filter(F.array(*[F.struct(F.lit(t).alias("taxon"), F.lit(i // tile).alias("tile")) for i, t in enumerate(taxa)]), lambda m: m["tile"] == F.col("tile"))
+    joined = pieces.join(edits, ["contig", "chunk", "tile"], "left").withColumn("taxon", F.explode_outer(F.transform(members, lambda m: m["taxon"])))
+    joined = joined.withColumn("edits", F.element_at("by_taxon", F.col("taxon"))).drop("by_taxon")
 
     def place(i: Column) -> Column:
         return (F.get("edits", i)["pos"] - F.col("offset")).cast("int")

@@ -231,6 +231,14 @@ SQL["pairwise_identity"] = _with(
          COALESCE(COUNT(*) FILTER (a.base <> 'N' AND a.base = b.base) / NULLIF(COUNT(*) FILTER (a.base <> 'N' AND b.base <> 'N'), 0), 0.0) AS "Prop_Identical"
        FROM grid a JOIN grid b ON a.contig = b.contig AND a.pos = b.pos AND a.taxon < b.taxon GROUP BY a.taxon, b.taxon""",
 )
+SQL["pairwise_gaps"] = _with(
+    GRID + """, thin AS (SELECT taxon, contig, pos, CASE WHEN taxon = 't0' AND pos % 2 = 0 OR taxon = 't1' AND pos % 2 = 1 THEN 'N' ELSE base END AS base FROM grid)""",
+    """SELECT a.taxon AS "Sample_A", b.taxon AS "Sample_B", a.taxon || ';' || b.taxon AS "Comparison",
+         COUNT(*) FILTER (a.base <> 'N' AND b.base <> 'N') AS "Cocalled_Sites",
+         COUNT(*) FILTER (a.base <> 'N' AND a.base = b.base) AS "Identical_Sites",
+         COALESCE(COUNT(*) FILTER (a.base <> 'N' AND a.base = b.base) / NULLIF(COUNT(*) FILTER (a.base <> 'N' AND b.base <> 'N'), 0), 0.0) AS "Prop_Identical"
+       FROM thin a JOIN thin b ON a.contig = b.contig AND a.pos = b.pos AND a.taxon < b.taxon GROUP BY a.taxon, b.taxon""",
+)
 SQL["sample_classification"] = _with(
     GRID + """, panel AS (SELECT contig, pos, MAX(base) FILTER (i = 0) AS r0, MAX(base) FILTER (i = 1) AS r1, MAX(base) FILTER (i = 2) AS r2
       FROM grid GROUP BY contig, pos),

@@ -139,8 +139,11 @@ def quality_lines(spark, sf_dir):
 
 @query
 def taxon_genomes(spark, sf_dir):
+    """Genomes put together from chunks shorter than the contigs."""
     consensus = CA.majority_from_votes(_votes(spark, sf_dir))
-    return G.overlay(X.composite(spark, sf_dir), consensus, X.TAXA).select("taxon", "contig", "seq")
+    chunks = G.overlay(X.composite(spark, sf_dir), consensus, X.TAXA, span=16, tile=3)
+    parts = F.array_sort(F.collect_list(F.struct("offset", "seq")))
+    return chunks.groupBy("taxon", "contig").agg(F.array_join(F.transform(parts, lambda p: p["seq"]), "").alias("seq"))
 
 
 # ---- contigs and sites
@@ -266,6 +269,16 @@ def pairwise_identity(spark, sf_dir):
     return CO.pairwise_identity(_variable(spark, sf_dir), X.TAXA)
 
 
+@query
+def pairwise_gaps(spark, sf_dir):
+    """Pairs in small tiles; the first two taxa are never called at one site."""
+    odd = F.col("pos") % 2 == 1
+    first = F.when(odd, F.substring("column", 1, 1)).otherwise(F.lit("N"))
+    second = F.when(odd, F.lit("N")).otherwise(F.substring("column", 2, 1))
+    sites = _variable(spark, sf_dir).withColumn("column", F.concat(first, second, F.substring("column", 3, len(X.TAXA))))
+    return CO.pairwise_identity(sites, X.TAXA, tile=3)
+
+
 @query
 def sample_classification(spark, sf_dir):
     return CO.classify_samples(_variable(spark, sf_dir), X.TAXA, X.REFERENCES)
