@@ -3,23 +3,40 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sitewright.plans import jobs
 
 
+def scheme_lines(scheme: DataFrame) -> Iterator[str]:
+    """The subset scheme as CSV without a header, a row per sample."""
+    for row in jobs.published_scheme(scheme).toLocalIterator():
+        yield ",".join("" if v is None else ";".join(v) if isinstance(v, list) else str(v) for v in row)
+
+
+def chosen_paths(chosen: DataFrame) -> Iterator[str]:
+    """Paths of the references in order of choice, in one line."""
+    yield ",".join(r["path"] for r in chosen.where("Is_Ref").orderBy("choice", "ord").select("path").collect())
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="sitewright")
     sub = top.add_subparsers(dest="command", required=True)
 
-    def command(name, fn, *args):
+    def command(name, fn, *args, say=None):
         p = sub.add_parser(name)
         names = []
         for flag, kw in args:
             p.add_argument(flag, **kw)
             names.append(flag.lstrip("-").replace("-", "_"))
-        p.set_defaults(run=lambda spark, a: fn(spark, **{n: getattr(a, n) for n in names}))
+        def run(spark, given):
+            made = fn(spark, **{n: getattr(given, n) for n in names})
+            for line in say(made) if say else ():
+                print(line)
+
+        p.set_defaults(run=run)
 
     need, number = {"required": True}, {"type": int, "required": True}
     suffixes = [
@@ -31,7 +48,7 @@ def parser() -> argparse.ArgumentParser:
     command("manifest", jobs.check_manifest, ("--location", need), out, *suffixes, ("--ignore-undetermined", {"action": "store_true"}))
     command(
         "prepare-reads", jobs.prepare_reads, ("--reads", need), out, ("--genome-size", number),
-        ("--coverage", {"type": float, "default": 10.0}), *suffixes,
+        ("--coverage", {"type": float, "default": 10.0}), *suffixes, say=scheme_lines,
     )
     command("pangenome", jobs.process_pangenome, ("--fasta", need), out, ("--prefix", {"default": "PG"}))
     command(
@@ -55,7 +72,7 @@ def parser() -> argparse.ArgumentParser:
     command("map-genome", jobs.map_genome, ("--path", need), out)
     command(
         "choose-references", jobs.choose_references, ("--triangle", need), ("--ref-count", {"type": int, "default": 1}),
-        out, ("--trim-name", {"default": ""}),
+        out, ("--trim-name", {"default": ""}), say=chosen_paths,
     )
     labelled = (("--triangle", need), ("--labels", need), out, ("--trim-name", {"default": ""}))
     command("check-groups", jobs.check_groups, *labelled)

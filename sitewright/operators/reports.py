@@ -69,6 +69,22 @@ def run_log(tool_lines: DataFrame, site_lines: DataFrame, alignment_lines: DataF
     return mapping.unionByName(sites).unionByName(final)
 
 
+# Headings of the run log's sections.
+OPENING = "Read Mapping and Site Selection:"
+HEADINGS = {"composite": "Composite Genome Mapping:", "specific": "Specific Genome Mapping:", "taxon sites": "Site Selection:"}
+CLOSING = "Alignment Filtering:"
+
+
+def log_document(log: DataFrame) -> DataFrame:
+    """The run log with a heading before each section, between blank lines; a taxon's headings are there even if a section is empty."""
+    blank = lambda text: [("", -3), (text, -2), ("", -1)]
+    row = lambda part, section, at, line: F.struct(F.lit(part).alias("part"), F.lit(section).cast("string").alias("section"), F.lit(at).cast("bigint").alias("at"), line.alias("line"))
+    each = [row(0, section, at, F.concat(F.col("taxon"), F.lit(" " + text)) if text else F.lit("")) for section, head in HEADINGS.items() for text, at in blank(head)]
+    per_taxon = log.where("taxon is not null").select("taxon").distinct().select("taxon", F.explode(F.array(*each)).alias("h"))
+    whole = log.sparkSession.createDataFrame([(0, None, None, -2, ""), (0, None, None, -1, OPENING), *[(1, None, None, at, text) for text, at in blank(CLOSING)]], "part int, taxon string, section string, at bigint, line string")
+    return log.unionByName(per_taxon.select("h.part", "taxon", "h.section", "h.at", "h.line")).unionByName(whole)
+
+
 def missing_entries(listing: DataFrame, required: DataFrame | None = None) -> DataFrame:
     """Required names (those of a finished pangenome by default) that ``listing`` lacks."""
     if required is None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,12 @@ def _stored(df: DataFrame, path: str, mode: str = "errorifexists", by: str | Non
     return df.sparkSession.read.parquet(path)
 
 
+def _renamed_folders(spark: SparkSession, path: str, by: str, values: list, target: str) -> None:
+    """Folders ``<by>=<value>`` of one job under the names of their documents; only names are changed."""
+    for value in values:
+        lines.move_folder(spark, f"{path}/{by}={value}", target.format(value))
+
+
 def _reported(spark: SparkSession, out: str, step):
     """Run ``step``; before a refusal goes on, all rows at fault are written to ``out``/offenders."""
     try:
@@ -59,6 +65,24 @@ def check_roster(spark: SparkSession, pileups: str, calls: DataFrame | None = No
     return roster
 
 
+# Column names of the subset scheme and of the reference table, as users know them.
+SCHEME_NAMES = {"sample_id": "Sample_ID", "grp": "Pangenome_Group", "reads": "Read_Location", "read_count": "Read_Count", "base_count": "Base_Count", "to_sample": "ToSample"}
+REFERENCE_NAMES = {"isolate": "Isolate_ID", "cluster": "Cluster", "path": "Path"}
+REFERENCE_COLUMNS = ["Isolate_ID", "Cluster", "Path", "Contigs", "Length", "N50", "N90", "L50", "L90", "N50_Zscore", "Mean_Distance", "Mean_Distance_Zscore", "Base_Score", "Prop", "Is_Ref"]
+
+
+def published_scheme(scheme: DataFrame) -> DataFrame:
+    """The subset scheme under its published column names."""
+    return scheme.select(*[F.col(c).alias(n) for c, n in SCHEME_NAMES.items() if c in scheme.columns])
+
+
+def published_references(chosen: DataFrame, isolates: DataFrame) -> DataFrame:
+    """The considered assemblies under their published column names, references first in order of choice, then by falling base score."""
+    named = chosen if "isolate" in chosen.columns else chosen.join(isolates.select("id", "isolate"), "id", "left")
+    ordered = S.output_order(named.withColumnsRenamed(REFERENCE_NAMES))
+    return ordered.select(*[c for c in REFERENCE_COLUMNS if c in ordered.columns])
+
+
 def prepare_reads(
     spark: SparkSession,
     reads: str,
@@ -82,7 +106,7 @@ def prepare_reads(
     records = _stored(sequences.ends_of_samples(manifest, parsed), f"{out}/reads", by="sample_id")
     stats = _stored(B.join_statistics(manifest, B.read_statistics(records)), f"{out}/read_statistics")
     scheme = _stored(B.allocate(stats, genome_size, coverage), f"{out}/subset_scheme")
-    DOC.write_table(scheme, f"{out}/subset_scheme_csv", sep=",")
+    DOC.write_table(published_scheme(scheme), f"{out}/subset_scheme_csv", sep=",")
     DOC.write_lines(B.allocation_log(stats, genome_size, coverage), ["line_no", "line"], f"{out}/subset_log")
     kept = _stored(B.subsample_pairs(records, scheme, seed), f"{out}/subset_reads", by="sample_id")
     DOC.write_fastq(kept, f"{out}/subset_fastq")
@@ -101,7 +125,7 @@ def process_pangenome(spark: SparkSession, fasta: str, out: str, prefix: str = "
     DOC.write_lines(ordered, ["contig_ord"], f"{out}/contigs_SeqLength.tsv")
     DOC.write_loci(G.enumerate_sites(lengths), f"{out}/contigs_LocList")
     DOC.write_table(A.assembly_metrics(lengths.withColumn("path", F.lit(fasta))), f"{out}/metrics")
-    return os.path.basename(out.rstrip("/")), out
+    return posixpath.basename(out.rstrip("/")), out
 
 
 def validate_pangenome(spark: SparkSession, path: str, required=None) -> tuple[str, str]:
@@ -109,7 +133,7 @@ def validate_pangenome(spark: SparkSession, path: str, required=None) -> tuple[s
     listing = spark.createDataFrame([(n,) for n in lines.entries(spark, path)], "name string")
     names = None if required is None else spark.createDataFrame([(n,) for n in required], "name string")
     whole = R.missing_entries(listing, names).isEmpty()
-    return os.path.basename(path.rstrip("/")), path if whole else ""
+    return posixpath.basename(path.rstrip("/")), path if whole else ""
 
 
 # Entries that `process_pangenome` writes.
@@ -121,9 +145,9 @@ def fetch_pangenome(spark, path: str = "", ref_path: str = "", name: str = "", r
     if path:
         return validate_pangenome(spark, path, OWN_ENTRIES)
     if ref_path:
-        return process_pangenome(spark, ref_path, os.path.join(root, name or "pangenome"))
+        return process_pangenome(spark, ref_path, posixpath.join(root, name or "pangenome"))
     if name:
-        return validate_pangenome(spark, os.path.join(root, name), OWN_ENTRIES)
+        return validate_pangenome(spark, posixpath.join(root, name), OWN_ENTRIES)
     raise ValueError("no pangenome information provided")
 
 
@@ -134,10 +158,9 @@ def pangenome(spark, out: str, reads: str = "", ref_path: str = "", name: str =
     """
     if reads and not ref_path:
         raise ValueError("a reference path is required with reads")
-    if not os.path.isdir(out):
-        if not os.path.isdir(os.path.dirname(os.path.abspath(out))):
-            raise FileNotFoundError(os.path.dirname(os.path.abspath(out)))
-        os.makedirs(out)
+    if reads and not options.get("genome_size"):
+        raise ValueError("a genome size is required with reads")
+    lines.make_folder(spark, out)
     if not reads:
         return fetch_pangenome(spark, ref_path=ref_path, name=name, root=out)
     prepare_reads(spark, reads, f"{out}/prep_{name}", **options)
@@ -150,9 +173,8 @@ def write_call_vectors(spark, calls_path: str, pangenome: str, out: str) -> None
     taxa = AL.taxa_of(calls)
     sites = G.enumerate_sites(spark.read.parquet(f"{pangenome}/lengths"))
     vectors = _stored(CA.call_vectors(sites, calls, taxa), f"{out}/vectors", mode="overwrite", by="taxon")
-    for taxon in taxa:
-        one = vectors.filter(F.col("taxon") == taxon)
-        DOC.write_lines(one, ["contig_ord", "pos"], f"{out}/{taxon}_LocList", column="base")
+    DOC.write_text(vectors, ["contig_ord", "pos"], f"{out}/lists", column="base", by="taxon")
+    _renamed_folders(spark, f"{out}/lists", "taxon", taxa, f"{out}/{{}}_LocList")
 
 
 def call_taxa(spark, pileups: str, pangenome: str, out: str, minread: int, thresh: float) -> DataFrame:
@@ -178,8 +200,8 @@ def taxon_genomes(spark, pileups: str, pangenome: str, out: str) -> DataFrame:
     _reported(spark, out, lambda: M.raise_all(G.unknown_contigs(chunks, consensus), "contigs without sequence", PileupError))
     taxa = AL.taxa_of(consensus)
     genomes = _stored(G.overlay(chunks, consensus, taxa), f"{out}/genomes", by="taxon")
-    for taxon in taxa:
-        DOC.write_fasta(genomes.filter(F.col("taxon") == taxon), f"{out}/{taxon}/contigs.fa")
+    DOC.write_fasta(genomes, f"{out}/fasta", by="taxon")
+    _renamed_folders(spark, f"{out}/fasta", "taxon", taxa, f"{out}/{{}}/contigs.fa")
     return genomes
 
 
@@ -226,8 +248,7 @@ def slice_alignment(spark, all_loci: str, wanted: str, path: str, dataset: str,
         DOC.write_loci(gapped, f"{out}/{dataset}_Gapped_LocList.txt.parts")
         DOC.write_phylip(sliced, taxa, f"{out}/{dataset}_AllSites.phylip-relaxed.parts")
         DOC.write_loci(sliced, f"{out}/{dataset}_AllSites_LocList.txt.parts")
-        with open(f"{out}/{dataset}_Partition.nex", "w", encoding="utf-8") as handle:
-            handle.write(DOC.partition_document(out, dataset))
+        lines.put_text(spark, f"{out}/{dataset}_Partition.nex", DOC.partition_document(out, dataset))
     return sliced
 
 
@@ -268,8 +289,8 @@ def choose_references(spark, triangle: str, ref_count: int, out: str, trim_name:
     files = [r["path"] for r in isolates.select("path").toLocalIterator()]
     located = G.contig_lengths(sequences.read_fasta(spark, files).withColumn("contig", F.struct("file", "contig_ord")))
     contigs = located.select(F.regexp_replace("contig.file", "^file:/*", "/").alias("path"), "length")
-    chosen = S.select_references(isolates, contigs, edges, ref_count)
-    DOC.write_table(chosen, out)
+    chosen = materialise(S.select_references(isolates, contigs, edges, ref_count))
+    DOC.write_table(published_references(chosen, isolates), out)
     return chosen
 
 
@@ -313,7 +334,7 @@ def run_log(spark, root: str, alignment_log: str, out: str) -> DataFrame:
     tool = lines.read_log(spark, root, glob="err_*")
     site = lines.read_log(spark, root, glob="out_*")
     log = R.run_log(tool, site, lines.read_log(spark, alignment_log))
-    DOC.write_lines(log, ["part", "taxon", "section", "at"], out)
+    DOC.write_lines(R.log_document(materialise(log)), ["part", "taxon", "section", "at"], out)
     return log
 
 

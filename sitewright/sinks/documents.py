@@ -90,20 +90,35 @@ def write_phylip(sites: DataFrame, taxa: Sequence[str], path: str, column: str =
     write_pieces(phylip_pieces(sites, taxa, column), ["section", "block"], path, overwrite=overwrite)
 
 
-def write_fasta(chunks: DataFrame, path: str, overwrite: bool = True) -> None:
-    """FASTA document, contigs sorted by id, one line per sequence."""
-    first = F.col("offset") == 0
-    start = F.when(first, F.concat(F.lit(">"), F.col("contig"), F.lit("\n"))).otherwise(F.lit(""))
-    body = chunks.select("contig", "offset", F.concat(start, F.col("seq")).alias("text"))
-    # a line end after the last chunk of each contig
-    ends = chunks.groupBy("contig").agg((F.max(F.col("offset") + F.length("seq")) + 1).alias("offset")).withColumn("text", F.lit("\n"))
-    write_pieces(body.unionByName(ends), ["contig", "offset"], path, overwrite=overwrite)
+def write_text(lines: DataFrame, order: list, path: str, column: str = "line", overwrite: bool = True, by: str | None = None) -> None:
+    """Lines as text in the given order, by Spark's own writer: its parts in name order are the document.
+
+    ``by`` makes a document of its own for each value, in a folder ``<by>=<value>``, all in one job.
+    """
+    mode = "overwrite" if overwrite else "errorifexists"
+    if by is None:
+        lines.orderBy(*order).select(F.col(column).alias("value")).write.mode(mode).text(path)
+        return
+    keys = [by, *order]
+    ordered = lines.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered.select(by, F.col(column).alias("value")).write.mode(mode).partitionBy(by).text(path)
+
+
+def fasta_lines(chunks: DataFrame) -> DataFrame:
+    """Header and sequence lines of contigs, a line per chunk; in order of contig and offset they are a FASTA document."""
+    with_head = F.when(F.col("offset") == 0, F.array(F.concat(F.lit(">"), "contig"), F.col("seq"))).otherwise(F.array("seq"))
+    keep = [c for c in ("taxon", "contig", "offset") if c in chunks.columns]
+    return chunks.select(*keep, F.posexplode(with_head).alias("part", "line"))
+
+
+def write_fasta(chunks: DataFrame, path: str, overwrite: bool = True, by: str | None = None) -> None:
+    """FASTA document, contigs sorted by id, one line per chunk; one document for each value of ``by``."""
+    write_text(fasta_lines(chunks), ["contig", "offset", "part"], path, overwrite=overwrite, by=by)
 
 
 def write_lines(df: DataFrame, order: list, path: str, column: str = "line", overwrite: bool = True) -> None:
     """One value per line, in order."""
-    lined = df.withColumn("_text", F.concat(F.col(column), F.lit("\n")))
-    write_pieces(lined, order, path, text="_text", overwrite=overwrite)
+    write_text(df, order, path, column, overwrite)
 
 
 def write_fastq(reads: DataFrame, path: str, mode: str = "overwrite") -> None:

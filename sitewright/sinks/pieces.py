@@ -6,13 +6,15 @@ their own, so a single line may span many parts.
 
 from __future__ import annotations
 
-import os
 import shutil
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from sitewright.sources.ranges import located
+
 FORMAT = "sitewright_pieces"
 
 
@@ -31,34 +33,41 @@ class _PieceWriter(DataSourceWriter):
     def write(self, iterator):
         from pyspark import TaskContext
 
-        os.makedirs(self.path, exist_ok=True)
+        store, folder = located(self.path)
+        store.create_dir(folder, recursive=True)
         task = TaskContext.get()
-        temporary = os.path.join(self.path, f".{self.token}-{task.taskAttemptId()}")
-        with open(temporary, "w", encoding="utf-8", newline="") as out:
+        temporary = f"{folder}/.{self.token}-{task.taskAttemptId()}"
+        with store.open_output_stream(temporary) as out:
             for row in iterator:
-                out.write(row[0])
-        return _Part(temporary, os.path.join(self.path, f"part-{task.partitionId():06d}"))
+                out.write(row[0].encode("utf-8"))
+        return _Part(temporary, f"{folder}/part-{task.partitionId():06d}")
 
     def commit(self, messages):
-        for name in os.listdir(self.path) if self.overwrite else []:
-            if name.startswith("part-"):
-                os.remove(os.path.join(self.path, name))
+        store, folder = located(self.path)
+        for path in _found(store, folder, "part-") if self.overwrite else []:
+            store.delete_file(path)
         for m in messages:
             if m is not None:
-                os.replace(m.temporary, m.final)
+                store.move(m.temporary, m.final)
         self._sweep()
 
     def abort(self, messages):
         self._sweep()
 
     def _sweep(self):
-        for name in os.listdir(self.path) if os.path.isdir(self.path) else []:
-            if name.startswith("." + self.token):
-                os.remove(os.path.join(self.path, name))
+        store, folder = located(self.path)
+        for path in _found(store, folder, "." + self.token):
+            store.delete_file(path)
+
+
+def _found(store: pafs.FileSystem, folder: str, prefix: str = "") -> list[str]:
+    """Files of a folder whose names begin with ``prefix``, in order; none if there is no folder."""
+    listed = store.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+    return sorted(f.path for f in listed if f.base_name.startswith(prefix) and f.type == pafs.FileType.File)
 
 
 class PieceSink(DataSource):
-    """Sink on a folder that every executor can reach under the same path."""
+    """Sink on a folder that every executor can reach under the same path, on any file system that pyarrow opens."""
 
     @classmethod
     def name(cls):
@@ -74,7 +83,7 @@ def register(spark: SparkSession) -> None:
 
 def write_pieces(df: DataFrame, order: list, path: str, text: str = "text", overwrite: bool = True) -> None:
     """Write the ``text`` column in the given order to part files in ``path``."""
-    if not overwrite and os.path.isdir(path) and os.listdir(path):
+    if not overwrite and _found(*located(path)):
         raise FileExistsError(path)
     register(df.sparkSession)
     ordered = df.orderBy(*order).select(text)
@@ -83,8 +92,10 @@ def write_pieces(df: DataFrame, order: list, path: str, text: str = "text", over
 
 def join_parts(path: str, target: str) -> str:
     """Concatenate the parts into one file, a buffer at a time."""
-    with open(target, "wb") as out:
-        for name in sorted(n for n in os.listdir(path) if n.startswith("part-")):
-            with open(os.path.join(path, name), "rb") as part:
-                shutil.copyfileobj(part, out)
+    store, folder = located(path)
+    there, file = located(target)
+    with there.open_output_stream(file) as out:
+        for part in _found(store, folder, "part-"):
+            with store.open_input_stream(part) as opened:
+                shutil.copyfileobj(opened, out)
     return target

@@ -93,6 +93,38 @@ def entries(spark: SparkSession, path: str, folders_only: bool = False) -> list[
     return sorted(f.getPath().getName() for f in found if f.isDirectory() or not folders_only)
 
 
+def _opened(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder below an existing one."""
+    at, fs = _opened(spark, qualified(spark, path))
+    if not fs.exists(at):
+        if at.getParent() is not None and not fs.exists(at.getParent()):
+            raise FileNotFoundError(at.getParent().toString())
+        fs.mkdirs(at)
+
+
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder another name, in place of what had it."""
+    at, fs = _opened(spark, path)
+    to, _ = _opened(spark, target)
+    fs.delete(to, True)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{path} cannot be moved to {target}")
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A short file, written whole."""
+    at, fs = _opened(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
 def list_files(spark: SparkSession, root: str | list[str], suffix: str = "", recursive: bool = True) -> DataFrame:
     """Paths below ``root`` that end in ``suffix``; contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from sitewright.__main__ import main
 
 
@@ -41,3 +43,15 @@ def test_undetermined_reads(spark, tmp_path):
         put(f"{tmp_path}/r/{name}.fastq.gz", "x")
     main(["manifest", "--location", f"{tmp_path}/r", "--ignore-undetermined", "--out", f"{tmp_path}/m"])
     assert spark.read.csv(f"{tmp_path}/m").count() == 1
+
+
+def test_chosen_paths_and_missing_genome_size(spark, tmp_path, capsys):
+    files = [put(f"{tmp_path}/i{k}.fa", "".join(f">k{j}\n{'A' * (20 + k + j)}\n" for j in range(3))) for k in range(4)]
+    rows = [files[0], f"{files[1]}\t1", f"{files[2]}\t1\t1", f"{files[3]}\t9\t9\t9"]
+    triangle = put(f"{tmp_path}/d.tri", "\t4\n" + "\n".join(rows) + "\n")
+    main(["choose-references", "--triangle", triangle, "--out", f"{tmp_path}/o"])
+    assert capsys.readouterr().out.splitlines()[-1] == files[2]
+    with pytest.raises(ValueError, match="genome size"):
+        main(["build-pangenome", "--reads", f"{tmp_path}/r", "--ref-path", files[0], "--out", f"{tmp_path}/p"])
+    with pytest.raises(FileNotFoundError):
+        main(["build-pangenome", "--ref-path", files[0], "--out", f"{tmp_path}/no/such/folder"])

@@ -304,7 +304,9 @@ def test_run_log(spark, tmp_path):
     put(tmp_path / "r" / "t1" / "out_t1", "hello\nOf 5 positions\n")
     jobs.run_log(spark, str(tmp_path / "r"), put(tmp_path / "al", "4 total\n"), str(tmp_path / "log"))
     got = read(join_parts(str(tmp_path / "log"), str(tmp_path / "t"))).splitlines()
-    assert got.count("rate") == 2 and got[-1] == "4 total" and "Of 5 positions" in got and len(got) == 12
+    assert got.count("rate") == 2 and got[-1] == "4 total" and "Of 5 positions" in got and len(got) == 26
+    heads = [x for x in got if x.endswith(":") and not x.startswith(" ")]
+    assert got[:2] == ["", "Read Mapping and Site Selection:"] and heads[1:] == ["t1 Composite Genome Mapping:", "t1 Specific Genome Mapping:", "t1 Site Selection:", "Alignment Filtering:"]
 
 
 def test_choose_references_from_files(spark, tmp_path):
@@ -313,6 +315,9 @@ def test_choose_references_from_files(spark, tmp_path):
     tri = put(tmp_path / "d.tri", "\t4\n" + "\n".join(rows) + "\n")
     chosen = jobs.choose_references(spark, tri, 1, str(tmp_path / "o")).filter("Is_Ref").collect()
     assert [r["path"] for r in chosen] == [files[2]]
+    table = spark.read.csv(str(tmp_path / "o"), sep="\t", header=True)
+    assert table.columns == ["Isolate_ID", "Path", "Contigs", "Length", "N50", "N90", "L50", "L90", "N50_Zscore", "Mean_Distance", "Mean_Distance_Zscore", "Base_Score", "Is_Ref"]
+    assert table.first()["Isolate_ID"] == "i2"
 
 
 def test_streaming_calls(spark, run, tmp_path):
