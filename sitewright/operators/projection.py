@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sitewright.functions import cigar as C
 from sitewright.functions.text import thousands
 from sitewright.operators.genome import explode_range
+from sitewright.session import materialise
+
+#: Bases of a chromosome that one group sweeps.
+RANGE = 1 << 16
 
 # Alignment flags of a forward and a reverse hit, and the unmapped bit.
 FORWARD, REVERSE, UNMAPPED = 0, 16, 4
@@ -60,15 +65,56 @@ def keep_unique(bed: DataFrame) -> DataFrame:
     return grouped.filter(F.col("hits") == 1).select("chrom", "start", (F.col("start") + 1).alias("end"), "name")
 
 
-def overlap_report(bed: DataFrame) -> DataFrame:
-    """Projected, removed and remaining site counts, with thousands separators."""
-    hits = bed.groupBy("chrom", "start").agg(F.count("*").alias("hits"))
-    totals = hits.agg(
-        F.coalesce(F.sum("hits"), F.lit(0)).cast("bigint").alias("mapped"),
-        F.coalesce(F.sum(F.when(F.col("hits") == 1, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("kept"),
-    )
+def _report(totals: DataFrame) -> DataFrame:
     removed = F.col("mapped") - F.col("kept")
     return totals.select(
         "mapped", removed.alias("removed"), "kept",
         thousands("mapped").alias("mapped_text"), thousands(removed).alias("removed_text"), thousands("kept").alias("kept_text"),
     )
+
+
+def overlap_report(bed: DataFrame) -> DataFrame:
+    """Projected, removed and remaining site counts, with thousands separators."""
+    hits = bed.groupBy("chrom", "start").agg(F.count("*").alias("hits"))
+    return _report(hits.agg(
+        F.coalesce(F.sum("hits"), F.lit(0)).cast("bigint").alias("mapped"),
+        F.coalesce(F.sum(F.when(F.col("hits") == 1, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("kept"),
+    ))
+
+
+def single_stretches(runs: DataFrame, width: int = RANGE) -> DataFrame:
+    """``(chrom, low, high, run)``: stretches of a genome that one run covers and no other, by a sweep.
+
+    ``runs`` has ``run`` (a number of its own), ``chrom``, ``genome_pos`` and ``size``. Runs are cut at
+    multiples of ``width`` and each range of a chromosome is swept on its own: ends open and close in order,
+    a running sum is the depth, and where it is 1 the exclusive or of the open runs is the one that is open.
+    Rows are as many as ends of runs, however long the runs are.
+    """
+    last = F.col("genome_pos") + F.col("size") - 1
+    ranges = F.sequence(F.expr(f"genome_pos div {width}"), F.expr(f"(genome_pos + size - 1) div {width}"))
+    cut = runs.filter(F.col("size") > 0).select("run", "chrom", "genome_pos", "size", F.explode_outer(ranges).alias("range"))
+    low, high = F.greatest(F.col("range") * width, F.col("genome_pos")), F.least((F.col("range") + 1) * width, last + 1)
+    ends = F.array(F.struct(low.alias("at"), F.lit(1).alias("turn")), F.struct(high.alias("at"), F.lit(-1).alias("turn")))
+    events = cut.select("chrom", "range", "run", F.explode_outer(ends).alias("e")).groupBy("chrom", "range", "e.at").agg(F.sum("e.turn").alias("turn"), F.bit_xor("run").alias("run"))
+    swept = W.partitionBy("chrom", "range").orderBy("at")
+    so_far = swept.rowsBetween(W.unboundedPreceding, W.currentRow)
+    depth = events.select("chrom", F.col("at").alias("low"), F.lead("at").over(swept).alias("high"), F.sum("turn").over(so_far).alias("depth"), F.bit_xor("run").over(so_far).alias("run"))
+    return depth.filter("depth = 1 and high is not null").select("chrom", "low", "high", "run")
+
+
+def overlap_report_of_runs(runs: DataFrame) -> DataFrame:
+    """``overlap_report`` from ``aligned_runs``: no row per base is made."""
+    numbered = runs.filter(F.col("size") > 0).withColumn("run", F.lit(0).cast("bigint"))
+    mapped = numbered.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("bigint")).scalar()
+    kept = single_stretches(numbered).agg(F.coalesce(F.sum(F.col("high") - F.col("low")), F.lit(0)).cast("bigint").alias("kept"))
+    return _report(kept.select(mapped.alias("mapped"), "kept"))
+
+
+def unique_bases(runs: DataFrame) -> DataFrame:
+    """``keep_unique`` of ``aligned_runs``: bases are listed only where one run covers the genome."""
+    numbered = materialise(runs.withColumn("run", F.monotonically_increasing_id()))
+    found = single_stretches(numbered).join(numbered.drop("chrom"), "run")
+    listed = explode_range(found, F.col("low"), F.col("high") - 1, "at")
+    step = F.col("at") - F.col("genome_pos")
+    on_contig = F.col("contig_pos") + F.when(F.col("direction") == FORWARD, step).otherwise(-step)
+    return listed.select("chrom", (F.col("at") - 1).alias("start"), F.col("at").alias("end"), F.concat_ws("/", "contig", on_contig).alias("name"))

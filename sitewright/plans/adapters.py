@@ -193,6 +193,20 @@ def sam_rows(spark, sf_dir) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", F.expr("cast(l_partkey % 32 as int)").alias("flag"))
 
 
+def aligned_reads(spark, sf_dir) -> DataFrame:
+    """Reads ``(read, contig, start, flag, mapq, cigar, seq)``, one per line item, with clips, insertions and deletions on both strands."""
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
+    sizes = li.selectExpr("*", "l_linenumber % 3 AS clip", "4 + l_linenumber % 3 AS first", "1 + l_orderkey % 2 AS more", "1 + l_suppkey % 2 AS less")
+    cigar = F.expr("concat(CASE WHEN clip > 0 THEN concat(clip, 'S') ELSE '' END, first, 'M', more, 'I3M', less, 'D4M')")
+    letters = F.expr("array_join(transform(sequence(0, cast(clip + first + more + 6 AS int)), q -> substr('ACGT', cast(1 + (l_orderkey + q * l_linenumber) % 4 AS int), 1)), '')")
+    return sizes.select(
+        F.expr("concat(lpad(l_orderkey, 12, '0'), '_', l_linenumber, '_', lpad(l_suppkey, 8, '0'), '_', lpad(cast(l_quantity AS int), 3, '0'))").alias("read"),
+        F.expr(f"concat('c', l_partkey div {SPAN})").alias("contig"), F.expr("1 + l_partkey % 30").alias("start"),
+        F.expr("CASE WHEN l_quantity = 7 THEN 4 WHEN l_linenumber % 2 = 0 THEN 16 ELSE 0 END").alias("flag"),
+        F.expr("cast(l_quantity AS int)").alias("mapq"), cigar.alias("cigar"), letters.alias("seq"),
+    )
+
+
 def manifest_rows(spark, sf_dir) -> DataFrame:
     """Raw manifest rows with empty ids, groups and reads among them."""
     c = table(spark, sf_dir, "customer")

@@ -540,3 +540,21 @@ reach(dist, id, r) AS (
 left_at AS (SELECT dist, COUNT(DISTINCT root) AS n FROM (SELECT dist, id, MIN(r) AS root FROM reach GROUP BY dist, id) GROUP BY dist),
 steps AS (SELECT dist, n, lag(n, 1, (SELECT COUNT(*) FROM supplier)) OVER (ORDER BY dist) - n AS merged FROM left_at)
 SELECT CAST(dist AS BIGINT) AS dist, merged AS n_merges, n AS n_left FROM steps WHERE merged > 0"""
+
+# ---- reads stacked on their reference
+
+SQL["alignment_pileup"] = """
+WITH r AS (
+  SELECT lpad(l_orderkey::VARCHAR, 12, '0') || '_' || l_linenumber || '_' || lpad(l_suppkey::VARCHAR, 8, '0') || '_' || lpad(CAST(l_quantity AS INT)::VARCHAR, 3, '0') AS read,
+         'c' || l_partkey // 50 AS contig, 1 + l_partkey % 30 AS start, l_orderkey AS o, l_linenumber AS k,
+         l_linenumber % 3 AS clip, 4 + l_linenumber % 3 AS first, 1 + l_orderkey % 2 AS more, 1 + l_suppkey % 2 AS less
+  FROM lineitem WHERE l_quantity <> 7),
+b AS (SELECT *, unnest(range(0, first + 7 + less)) AS x FROM r),
+c AS (SELECT read, contig, start, start + x AS pos,
+        CASE WHEN x < first THEN substr('ACGT', CAST(1 + (o + (clip + x) * k) % 4 AS INT), 1)
+             WHEN x < first + 3 THEN substr('ACGT', CAST(1 + (o + (clip + more + x) * k) % 4 AS INT), 1)
+             WHEN x < first + 3 + less THEN '*'
+             ELSE substr('ACGT', CAST(1 + (o + (clip + more + x - less) * k) % 4 AS INT), 1) END AS base FROM b),
+g AS (SELECT 'c' || p_partkey // 50 AS contig, 1 + p_partkey % 50 AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS ref FROM part)
+SELECT contig, pos, COALESCE(ref, 'N') AS ref, CAST(COUNT(*) AS INT) AS depth, string_agg(base, '' ORDER BY start, read) AS decoded
+FROM c LEFT JOIN g USING (contig, pos) GROUP BY contig, pos, ref"""

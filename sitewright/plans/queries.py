@@ -22,6 +22,7 @@ from sitewright.operators import manifest as M
 from sitewright.operators import projection as P
 from sitewright.operators import reports as R
 from sitewright.operators import selection as S
+from sitewright.operators import stacks as ST
 from sitewright.plans import adapters as X
 from sitewright.session import materialise
 from sitewright.sinks import documents as DOC
@@ -313,12 +314,19 @@ def genome_projection(spark, sf_dir):
 
 @query
 def unique_projection(spark, sf_dir):
-    return P.keep_unique(P.project(X.map_rows(spark, sf_dir)))
+    return P.unique_bases(P.aligned_runs(X.map_rows(spark, sf_dir)))
 
 
 @query
 def overlap_report(spark, sf_dir):
-    return P.overlap_report(P.project(X.map_rows(spark, sf_dir)))
+    return P.overlap_report_of_runs(P.aligned_runs(X.map_rows(spark, sf_dir)))
+
+
+@query
+def alignment_pileup(spark, sf_dir):
+    """Pileups of aligned reads, decoded again: depth and bases of the reads at every site."""
+    stacked = ST.pileup_of_reads(X.aligned_reads(spark, sf_dir), X.composite(spark, sf_dir), span=16)
+    return CA.decode_pileup(stacked).select("contig", "pos", "ref", "depth", "decoded")
 
 
 # ---- manifests
