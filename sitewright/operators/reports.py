@@ -58,10 +58,10 @@ def site_reports(lines: DataFrame, prefix: str = SITE_LINE) -> DataFrame:
     return lines.filter(F.startswith("line", F.lit(prefix))).select("taxon", "line_no", "line")
 
 
-def run_log(tool_lines: DataFrame, site_lines: DataFrame, alignment_lines: DataFrame) -> DataFrame:
+def run_log(tool_lines: DataFrame, site_lines: DataFrame, alignment_lines: DataFrame, mark: str = MARK, prefix: str = SITE_LINE) -> DataFrame:
     """Whole run log as ordered ``(part, taxon, section, at, line)`` rows."""
-    mapping = mapping_reports(tool_lines).select(F.lit(0).alias("part"), "taxon", "section", F.col("at").cast("bigint").alias("at"), "line")
-    sites = site_reports(site_lines).select(F.lit(0).alias("part"), "taxon", F.lit("taxon sites").alias("section"), F.col("line_no").cast("bigint").alias("at"), "line")
+    mapping = mapping_reports(tool_lines, mark).select(F.lit(0).alias("part"), "taxon", "section", F.col("at").cast("bigint").alias("at"), "line")
+    sites = site_reports(site_lines, prefix).select(F.lit(0).alias("part"), "taxon", F.lit("taxon sites").alias("section"), F.col("line_no").cast("bigint").alias("at"), "line")
     final = alignment_lines.select(
         F.lit(1).alias("part"), F.lit(None).cast("string").alias("taxon"), F.lit("alignment").alias("section"),
         F.col("line_no").cast("bigint").alias("at"), "line",

@@ -558,3 +558,32 @@ c AS (SELECT read, contig, start, start + x AS pos,
 g AS (SELECT 'c' || p_partkey // 50 AS contig, 1 + p_partkey % 50 AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS ref FROM part)
 SELECT contig, pos, COALESCE(ref, 'N') AS ref, CAST(COUNT(*) AS INT) AS depth, string_agg(base, '' ORDER BY start, read) AS decoded
 FROM c LEFT JOIN g USING (contig, pos) GROUP BY contig, pos, ref"""
+
+# ---- orders and documents
+
+SQL["run_log_document"] = f"""
+WITH log AS (
+  SELECT 0 AS part, taxon, section, CAST(m.at AS BIGINT) AS at, line FROM ({SQL["mapping_reports"]}) m
+  UNION ALL SELECT 0, taxon, 'taxon sites', CAST(line_no AS BIGINT), line FROM ({SQL["site_report_lines"]})
+  UNION ALL SELECT 1, NULL, 'alignment', CAST(n_nationkey AS BIGINT), n_name FROM nation),
+heads AS (
+  SELECT 0 AS part, taxon, section, CAST(k AS BIGINT) AS at, CASE WHEN k = -2 THEN taxon || ' ' || head ELSE '' END AS line
+  FROM (SELECT DISTINCT taxon FROM log WHERE taxon IS NOT NULL),
+       (VALUES ('composite', 'Composite Genome Mapping:'), ('specific', 'Specific Genome Mapping:'), ('taxon sites', 'Site Selection:')) h(section, head),
+       (VALUES (-3), (-2), (-1)) a(k))
+SELECT * FROM log UNION ALL SELECT * FROM heads
+UNION ALL SELECT * FROM (VALUES (0, NULL, NULL, -2, ''), (0, NULL, NULL, -1, 'Read Mapping and Site Selection:'), (1, NULL, NULL, -3, ''), (1, NULL, NULL, -2, 'Alignment Filtering:'), (1, NULL, NULL, -1, ''))"""
+SQL["reference_order"] = _with(
+    BASE + """, r AS (SELECT id, round(score, 6) AS score FROM base), best AS (SELECT id FROM r ORDER BY score DESC, id LIMIT 1)""",
+    "SELECT id, row_number() OVER (ORDER BY id NOT IN (SELECT id FROM best), score DESC NULLS LAST, id) AS place FROM r",
+)
+SQL["slice_order"] = f"""SELECT locus, row_number() OVER (ORDER BY part <> 'nogaps', split_part(locus, '/', 1), CAST(split_part(locus, '/', 2) AS INT)) AS place FROM ({SQL["site_slice"]})"""
+SQL["fasta_document"] = """
+WITH g AS (SELECT 'c' || p_partkey // 50 AS contig, string_agg(substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1), '' ORDER BY p_partkey) AS seq FROM part GROUP BY 1),
+c AS (SELECT contig, seq, unnest(range(0, len(seq), 16)) AS k FROM g)
+SELECT contig, CAST(k AS BIGINT) AS "offset", CAST(CASE WHEN k = 0 THEN 1 ELSE 0 END AS INT) AS part, substr(seq, k + 1, 16) AS line FROM c
+UNION ALL SELECT contig, 0, 0, '>' || contig FROM g"""
+PILED = "files AS (SELECT 't' || o_custkey AS taxon, COUNT(*) AS n FROM orders WHERE o_orderkey % 5 < 2 GROUP BY 1)"
+SQL["taxon_roster"] = _with(PILED, "SELECT COALESCE('t' || c_custkey, taxon) AS taxon, COALESCE(n, 0) AS n FROM customer FULL JOIN files ON taxon = 't' || c_custkey")
+SQL["many_pileups"] = _with(PILED, "SELECT taxon, n FROM files WHERE n > 1")
+SQL["subset_scheme"] = f"""SELECT sample_id AS "Sample_ID", grp AS "Pangenome_Group", read_count AS "Read_Count", base_count AS "Base_Count", to_sample AS "ToSample" FROM ({SQL["budget_allocation"]})"""

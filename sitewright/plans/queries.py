@@ -24,10 +24,12 @@ from sitewright.operators import reports as R
 from sitewright.operators import selection as S
 from sitewright.operators import stacks as ST
 from sitewright.plans import adapters as X
+from sitewright.plans import jobs
 from sitewright.session import materialise
 from sitewright.sinks import documents as DOC
 from sitewright.sources import alignments, ranges
-from sitewright.sources.evidence import parse_pileup, parse_triangle
+from sitewright.sources.evidence import parse_pileup, parse_triangle, taxa_with_many_pileups
+from sitewright.sources.evidence import taxon_roster as roster_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -596,3 +598,60 @@ def mapping_reports(spark, sf_dir):
 @query
 def site_report_lines(spark, sf_dir):
     return R.site_reports(X.log_lines(spark, sf_dir), prefix="Le")
+
+
+@query
+def run_log_document(spark, sf_dir):
+    """The whole run log with its headings: mapping and site figures of each taxon, then those of the alignment."""
+    lines = X.log_lines(spark, sf_dir)
+    final = X.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("line_no"), F.col("n_name").alias("line"))
+    return R.log_document(R.run_log(lines, lines, final, mark="qu", prefix="Le"))
+
+
+# ---- orders and documents
+
+
+@query
+def reference_order(spark, sf_dir):
+    """Place of every assembly in the reference table: references in order of choice, then by falling base score."""
+    candidates = materialise(_scored(spark, sf_dir)).withColumn("Base_Score", F.round("Base_Score", 6))
+    marked = S.mark_references(candidates, [r["id"] for r in S.top_by(candidates, "Base_Score", 1).select("id").collect()])
+    placed = S.output_order(marked).select("id", F.monotonically_increasing_id().alias("at"))
+    return K.numbered(materialise(placed), "at").select("id", F.col("slot").alias("place"))
+
+
+@query
+def slice_order(spark, sf_dir):
+    """Place of every wanted site in the combined alignment: gapless sites first."""
+    part = X.table(spark, sf_dir, "part").filter("p_size > 25")
+    wanted = part.select(F.expr(f"concat('c', p_partkey div {X.SPAN}, '/', 1 + p_partkey % {X.SPAN})").alias("locus"))
+    sliced = AL.slice_sites(_variable(spark, sf_dir), wanted)
+    keyed = sliced.select("locus", F.struct(AL.combined_order(sliced).alias("part"), "contig", "pos").alias("k"))
+    return K.numbered(keyed, "k").select("locus", F.col("slot").alias("place"))
+
+
+@query
+def fasta_document(spark, sf_dir):
+    """Lines of the composite genome as FASTA, a line per chunk."""
+    return DOC.fasta_lines(G.rechunk(X.composite(spark, sf_dir), 16))
+
+
+@query
+def taxon_roster(spark, sf_dir):
+    """Taxon folders with the number of their pileup files: customers as folders, some of the orders as files."""
+    folders = X.table(spark, sf_dir, "customer").select(F.expr("concat('t', c_custkey)").alias("taxon"))
+    orders = X.table(spark, sf_dir, "orders").filter("o_orderkey % 5 < 2")
+    return roster_of(folders, orders.select(F.expr("concat('/run/t', o_custkey, '/', o_orderkey, '.pileups')").alias("path")))
+
+
+@query
+def many_pileups(spark, sf_dir):
+    """Folders with more than one pileup file."""
+    orders = X.table(spark, sf_dir, "orders").filter("o_orderkey % 5 < 2")
+    return taxa_with_many_pileups(orders.select(F.expr("concat('/run/t', o_custkey, '/', o_orderkey, '.pileups')").alias("path")))
+
+
+@query
+def subset_scheme(spark, sf_dir):
+    """The subset scheme under its published names."""
+    return jobs.published_scheme(B.allocate(materialise(_stats(spark, sf_dir)), GENOME_SIZE, COVERAGE))
