@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sitewright.session import ROWS_TO_BROADCAST, materialise
+from sitewright.session import written
 
 BUCKET_DIGITS = 3
 
@@ -98,9 +98,7 @@ def subsample(reads: DataFrame, targets: DataFrame, read_key: Column, seed: str
     """
     ranked = reads.withColumn("_key", read_key).withColumn("_rank", F.md5(F.concat(F.lit(seed), F.lit(":"), F.col("_key"))))
     ranked = ranked.withColumn("_bucket", F.substring("_rank", 1, digits))
-    cuts = materialise(_cuts(ranked, targets))
-    if cuts.count() <= ROWS_TO_BROADCAST:
-        cuts = F.broadcast(cuts)
+    cuts = written(_cuts(ranked, targets), "sample_id")  # its size is known, so the planner broadcasts it only while it is small
     placed = ranked.join(cuts, "sample_id")
     whole = placed.filter(F.col("cut").isNull() | (F.col("_bucket") < F.col("cut.bucket")))
     inside = W.partitionBy("sample_id").orderBy("_rank", "_key").rowsBetween(W.unboundedPreceding, W.currentRow)

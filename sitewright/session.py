@@ -60,17 +60,18 @@ def written(df: DataFrame, by: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-ROWS_TO_BROADCAST = 200_000
+BYTES_TO_BROADCAST = 8 << 20
 
 
 def local_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """Short driver-side list as a table; broadcast in joins while it is short.
+    """Short driver-side list as a table; broadcast in joins while its bytes are few.
 
     The planner knows no size for such a table and would otherwise broadcast or shuffle
     the large side.
     """
     made = spark.createDataFrame(rows, schema)
-    return F.broadcast(made) if len(rows) <= ROWS_TO_BROADCAST else made
+    size = sum(16 + len(v) if isinstance(v, str) else 16 for row in rows for v in row)
+    return F.broadcast(made) if size <= BYTES_TO_BROADCAST else made
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sitewright.session import materialise
-
-
-SPLITS_TO_BROADCAST = 500_000
+from sitewright.session import written
 
 
 def _raw(spark: SparkSession, path, line_sep: str | None, glob: str | None) -> DataFrame:
@@ -42,16 +39,14 @@ def read_records(spark: SparkSession, path, line_sep: str | None = None, glob: s
     """Lines as ``(file, line_no, value)``, numbered from 0 in file order.
 
     Each input split is numbered on its own; the number of records before a split comes
-    from a table with one row per split, broadcast while it is short. Nothing is sorted or
-    gathered.
+    from a stored table with one row per split, which the planner broadcasts while its bytes are
+    few. Nothing is sorted or gathered.
     """
     raw = _raw(spark, path, line_sep, glob)
     splits = raw.groupBy("file", "block").agg(F.min("mid").alias("first"), F.count("*").alias("n"))
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     offsets = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    offsets = materialise(offsets)
-    if offsets.count() <= SPLITS_TO_BROADCAST:
-        offsets = F.broadcast(offsets)
+    offsets = written(offsets, "file")
     return raw.join(offsets, ["file", "block"]).select(
         "file", (F.col("mid") - F.col("first") + F.col("before")).alias("line_no"), "value"
     )

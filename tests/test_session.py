@@ -36,5 +36,5 @@ def test_spread_only_widens(spark):
 def test_local_table_is_broadcast(spark, monkeypatch):
     plan = lambda df: spark.range(5).join(df, "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(session.local_table(spark, [(1,)], "id bigint"))
-    monkeypatch.setattr(session, "ROWS_TO_BROADCAST", 0)
+    monkeypatch.setattr(session, "BYTES_TO_BROADCAST", 0)
     assert "broadcast" not in plan(session.local_table(spark, [(1,)], "id bigint"))
