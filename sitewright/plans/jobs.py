@@ -274,10 +274,12 @@ def classify_samples(spark, path: str, references: str, out: str) -> DataFrame:
 
 def map_genome(spark, path: str, out: str) -> DataFrame:
     """Whole and overlap-free BED of a genome map, and the overlap report."""
-    bed = _stored(P.project(evidence.read_map_data(spark, path)), f"{out}/mapped", mode="overwrite")
+    maps = evidence.read_map_data(spark, path)
+    runs = materialise(P.aligned_runs(maps))
+    bed = _stored(P.project(maps), f"{out}/mapped", mode="overwrite")
     DOC.write_table(bed, f"{out}/mapped_bed", header=False)
-    DOC.write_table(P.keep_unique(bed), f"{out}/mapped_nondup_bed", header=False)
-    report = P.overlap_report(bed)
+    DOC.write_table(P.unique_bases(runs), f"{out}/mapped_nondup_bed", header=False)
+    report = P.overlap_report_of_runs(runs)
     DOC.write_table(report, f"{out}/report")
     return report
 
