@@ -47,7 +47,9 @@ def read_stacks(reads: DataFrame) -> DataFrame:
     ``reads`` has ``read, contig, start`` (1-based), ``flag, mapq, cigar, seq``. Unmapped reads and
     those without a match cover nothing. ``letter`` is a read base, ``*`` in a deletion or ``>`` in a skip.
     """
-    placed = C.with_segments(mapped_only(reads)).withColumn("steps", _steps(F.col("seq"))).filter(F.size("steps") > 0)
+    # exploding an array of one keeps the planner from walking the segments again for every use
+    walked = C.with_segments(mapped_only(reads)).withColumn("steps", F.explode_outer(F.array(_steps(F.col("seq")))))
+    placed = walked.filter(F.size("steps") > 0)
     spread = placed.withColumn("span", F.aggregate("steps", F.lit(0).cast("bigint"), lambda n, s: n + s["size"]))
     each = spread.select("read", "contig", "start", "flag", "mapq", "seq", "span", F.explode_outer("steps").alias("s"))
     bases = explode_range(each, F.lit(0), F.col("s.size") - 1, "i")
