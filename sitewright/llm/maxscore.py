@@ -28,6 +28,19 @@ def _matrix(lists: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def saturated(postings: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in unbounded whole numbers, those beyond 64 bits set to the nearest end of the range."""
+    ends = np.iinfo(np.int64)
+    scores = (postings.astype(object) * query.astype(object)[:, None]).sum(0)
+    return np.array([min(max(int(s), ends.min), ends.max) for s in scores], np.int64)
+
+
+def small(values: np.ndarray) -> np.ndarray:
+    """Rows whose sums of products, and the bounds of these, stay in 64 bits."""
+    limit = int((2**60 / max(1, values.shape[1])) ** 0.5)
+    return ((values < limit) & (values > -limit)).all(1)
+
+
 def shard_top(postings: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of one shard for one query, by MaxScore.
 
@@ -67,7 +80,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHARD
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id, a query's
     own id is no candidate, fewer candidates give fewer rows, empty tables none. Repeated
     rows count once; of different vectors under one id the smallest counts. Vectors of unequal
-    length are filled with zeros.
+    length are filled with zeros. Null ids and vectors are left out (by ``quantised``). Components and scores beyond a long are set to the
+    nearest end of its range, so such scores may tie; products with components too large for exact 64-bit sums are taken in unbounded numbers.
 
     Vectors are dealt into shards and queries into blocks of bounded size; each pair of a shard
     and a block is one group, which sends k rows a query to the merge.
@@ -86,13 +100,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHARD
         width = max([0, *(len(x) for x in rows["q"])])
         asks = rows["asks"].to_numpy()
         ids, values = rows["vec_id"].to_numpy(), _matrix(rows["q"], width)
-        postings, own = np.ascontiguousarray(values[~asks].T), ids[~asks]
+        tame = small(values)
+        plain, large = ~asks & tame, ~asks & ~tame
+        postings, own = np.ascontiguousarray(values[plain].T), ids[plain]
+        beyond, theirs = np.ascontiguousarray(values[large].T), ids[large]
         found: list[tuple] = [(np.zeros(0, np.int64),) * 3]
-        if len(own):
-            low, high = (postings.min(1), postings.max(1)) if width else (np.zeros(0, np.int64),) * 2
-            for q, v in zip(ids[asks], values[asks]):
-                place, score = shard_top(postings, low, high, own, v, q, k)
-                found.append((np.full(len(place), q, np.int64), own[place], score.astype(np.int64)))
+        low, high = (postings.min(1), postings.max(1)) if width and len(own) else (np.zeros(0, np.int64),) * 2
+        for q, v, exact in zip(ids[asks], values[asks], tame[asks]):
+            near = []
+            if len(own):
+                place, score = shard_top(postings, low, high, own, v, q, k) if exact else (slice(None), saturated(postings, v))
+                near.append((own[place], score.astype(np.int64)))
+            if len(theirs):
+                near.append((theirs, saturated(beyond, v)))
+            for one, score in near:
+                best = np.flatnonzero(one != q)
+                best = best[np.lexsort((one[best], ~score[best]))[:k]]
+                found.append((np.full(len(best), q, np.int64), one[best], score[best]))
         a, b, c = map(np.concatenate, zip(*found))
         return pa.table({"query_id": a, "vec_id": b, "score": c})
 

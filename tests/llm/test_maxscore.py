@@ -1,5 +1,6 @@
 """Exact top-k against scoring every pair."""
 
+import math
 import random
 
 import numpy as np
@@ -27,3 +28,17 @@ def test_odd_rows(spark):
     assert got == [(0, 1, 6, 65536), (0, 2, 7, 65536), (0, 3, 8, 65536), (0, 4, 5, 0)]
     assert maxscore.top_k(vectors.where("false"), vectors.where("false")).count() == 0
     assert maxscore.top_k(vectors.where("vec_id = 0"), vectors.where("vec_id = 0")).count() == 0
+
+
+def test_large_components(spark):
+    rng = random.Random(3)
+    sizes = [1.0, 1e6, 3e7, 1e9, 1e15, 1e300, -1e300]
+    rows = [(i, [rng.choice(sizes) * rng.choice([-1, 1, 0.5]) for _ in range(3)] if i % 3 else [rng.gauss(0, 9) for _ in range(3)]) for i in range(120)]
+    vectors = maxscore.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    top = 2**63 - 1
+    held = lambda x: min(max(x, -top - 1), top)
+    q = {i: [held(math.floor(c * 256)) if abs(c) < 1e20 else held(int(c)) for c in x] for i, x in rows}
+    score = {(a, b): held(sum(x * y for x, y in zip(q[a], q[b]))) for a in (0, 50, 100) for b in q if a != b}
+    want = [(a, n, b, s) for a in (0, 50, 100) for n, (s, b) in enumerate(sorted(((s, b) for (x, b), s in score.items() if x == a), key=lambda x: (-x[0], x[1]))[:5], 1)]
+    for shard in (30, 8192):
+        assert sorted(tuple(r) for r in maxscore.top_k(vectors, vectors.where("vec_id % 50 = 0"), shard=shard).collect()) == want
