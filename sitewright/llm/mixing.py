@@ -85,8 +85,9 @@ def leaf_budgets(sizes: DataFrame, levels: Sequence[str], weights: Mapping[tuple
 
 
 def sized(docs: DataFrame, levels: Sequence[str], id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
-    """(doc_id, levels, n_tokens and any key) of every document; null names of a level become ''."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in levels], token_count(F.col(text_col).cast("string")).alias("n_tokens"), *([F.col(key_col).alias("key")] if key_col else []))
+    """(doc_id, name, levels, n_tokens and any key) of every document; null names of a level become ''; ``name`` is the id, or the digest of the text where there is none."""
+    name = F.coalesce(F.col(id_col).cast("long").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), name.alias("name"), *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in levels], token_count(F.col(text_col).cast("string")).alias("n_tokens"), *([F.col(key_col).alias("key")] if key_col else []))
 
 
 def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...], int], budget: int | None = None, max_epochs: int = 2, seed: int = 7, default: int = 1, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
@@ -97,11 +98,12 @@ def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...]
     which the prefix ends counts with the tokens that fit (take_tokens); a row stands for a whole
     document in one epoch. The takes of a leaf add up to its budget.
 
-    Documents without tokens (null or empty text) are in whole epochs only; a null doc_id is
-    ordered as ''; repeated rows count each; ``key_col`` names a column that is passed on as ``key`` and orders what else is equal; null names of a level form the group ''; an empty table gives no rows.
+    Documents without tokens (null or empty text) are in whole epochs only; rows without doc_id are
+    ordered by 'text:' and the md5 of their text in its place; repeated rows count each; ``key_col`` names a column that is passed on as ``key`` and orders what else is equal; null names of a level form the group ''; an empty table gives no rows.
 
     Only the ids and sizes of documents are dealt. A hot leaf is never one group: its epoch is cut
-    into 4096 ranges that are summed; rows are put in order only in the range where the prefix ends.
+    into 4096 ranges that are summed; rows are put in order only in the range where the prefix ends,
+    equal rows as one with their number.
     """
     keys = list(levels)
     thin = materialise(sized(docs, keys, id_col, text_col, key_col))
@@ -109,14 +111,20 @@ def mix(docs: DataFrame, levels: Sequence[str], weights: Mapping[tuple[str, ...]
     rows = thin.join(leaves, keys)
     whole = rows.where("epochs > 0").withColumn("epoch", F.explode(F.expr("sequence(0, cast(epochs - 1 as int))"))).withColumn("take_tokens", F.col("n_tokens"))
     part = rows.where("rest > 0").withColumn("epoch", F.col("epochs").cast("int"))
-    part = part.withColumn("place", F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    part = part.withColumn("place", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "name")))
     part = part.withColumn("range", F.substring("place", 1, DIGITS))
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = part.groupBy(*keys, "range").agg(F.sum("n_tokens").alias("held"), F.first("rest").alias("rest")).withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
     ends = stored(sums.where("start < rest and start + held >= rest").select(*keys, F.col("range").alias("last"), "start"))
     part = part.join(ends, keys)
     order = Window.partitionBy(*keys).orderBy("place", "doc_id", "n_tokens", *(["key"] if key_col else [])).rowsBetween(Window.unboundedPreceding, -1)
-    edge = part.where("range = last").withColumn("start", F.col("start") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where("start < rest")
+    own = ["doc_id", "epoch", "n_tokens", "tokens", "given", *(["key"] if key_col else [])]
+    edge = part.where("range = last").groupBy(*keys, "place", "rest", "start", *own).agg(F.count("*").alias("copies"))
+    edge = edge.withColumn("start", F.col("start") + F.coalesce(F.sum(F.col("n_tokens") * F.col("copies")).over(order), F.lit(0))).where("start < rest")
+    # copies that begin before the end of the prefix, listed a thousand at a time
+    fit = F.when(F.col("n_tokens") > 0, F.least("copies", F.expr("(rest - start + n_tokens - 1) div n_tokens"))).otherwise(F.col("copies"))
+    edge = edge.withColumn("fit", fit).withColumn("thousand", F.explode(F.expr("sequence(0L, (fit - 1) div 1000)")))
+    edge = edge.withColumn("copy", F.explode(F.expr("sequence(thousand * 1000, least(thousand * 1000 + 999, fit - 1))"))).withColumn("start", F.col("start") + F.col("copy") * F.col("n_tokens"))
     out = [*keys, "epoch", "n_tokens", "take_tokens", "tokens", "given", *(["key"] if key_col else [])]
     picked = whole.select("doc_id", *out)
     picked = picked.union(part.where("range < last").withColumn("take_tokens", F.col("n_tokens")).select("doc_id", *out))

@@ -18,7 +18,7 @@ SQL = {
     """,
     "op6_source_mixing": """
         WITH d AS (
-            SELECT doc_id, 'domain' || (ascii(coalesce(right(source, 1), '')) % 4) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            SELECT doc_id, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS name, 'domain' || (ascii(coalesce(right(source, 1), '')) % 4) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS n
             FROM documents
         ), leaf AS (
@@ -68,7 +68,7 @@ SQL = {
         ), epoch AS (
             SELECT d.*, tokens, given, UNNEST(range(0, (given // tokens)::BIGINT + 1)) AS epoch FROM d JOIN g3 USING (domain, lang, source) WHERE tokens > 0
         ), placed AS (
-            SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source, epoch ORDER BY md5('7:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+            SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source, epoch ORDER BY md5('7:' || epoch || ':' || name), doc_id NULLS FIRST, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
                    given - epoch * tokens AS open FROM epoch
         )
         SELECT doc_id, domain, lang, source, epoch::INTEGER AS epoch, n AS n_tokens, CASE WHEN open >= tokens THEN n ELSE least(n, open - before)::BIGINT END AS take_tokens, tokens::BIGINT AS tokens, given::BIGINT AS given

@@ -57,6 +57,24 @@ def plain(rows, weights, budget, epochs, seed=7):
     return sorted(out)
 
 
+def test_repeated_rows_and_rows_without_id(spark):
+    rows = [(None, f"w{i} " * (i % 5)) for i in range(50)] + [(None, "a b c")] * 2500 + [(7, "d e")] * 1500 + [(None, None)] * 9
+    docs = spark.createDataFrame([(i, "d", "en", "s", x) for i, x in rows], "doc_id long, domain string, lang string, source string, text string")
+    total = sum(len((x or "").split()) for _, x in rows)
+    for budget in (1, total // 3, total // 2, total - 1, total + 5):
+        name = lambda r: str(r[0]) if r[0] is not None else "text:" + hashlib.md5((r[1] or "").encode()).hexdigest()
+        left, want = budget % total if budget != total else 0, []
+        whole = budget // total
+        want = [(r[0], 0, len((r[1] or "").split())) for r in rows] * whole
+        for r in sorted(rows, key=lambda r: hashlib.md5(f"7:{whole}:{name(r)}".encode()).hexdigest()):
+            n = len((r[1] or "").split())
+            if left > 0:
+                want.append((r[0], whole, min(n, left)))
+                left -= n
+        out = [(r.doc_id, r.epoch, r.take_tokens) for r in mixing.mix(docs, LEVELS, {}, budget, 2).collect()]
+        assert sorted(out, key=str) == sorted(want, key=str)
+
+
 def got(frame):
     return sorted((r.doc_id, r.epoch, r.take_tokens) for r in frame.collect())
 
