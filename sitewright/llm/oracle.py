@@ -87,6 +87,8 @@ SQL = {
             SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.turn) AS turn, r.text AS content, c.text, c.long, c.bad, c.turn AS asked,
                    CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status, lv.level
             FROM c FULL JOIN r ON c.call_id = r.call_id LEFT JOIN lv ON lv.call_id = c.call_id
+        ), o AS (
+            SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
         )
         SELECT conv_id, call_id, turn, status, level::INTEGER AS level, CASE WHEN asked IS NULL THEN NULL ELSE NOT bad END AS valid,
                CASE WHEN asked IS NOT NULL AND bad THEN 'type:limit' ELSE '' END AS faults,
@@ -97,6 +99,10 @@ SQL = {
                || CASE WHEN level IS NULL THEN '' ELSE ',"level":' || level END || CASE WHEN asked IS NULL THEN '' ELSE ',"name":' || CASE WHEN long THEN '"search"' ELSE '"lookup"' END END
                || ',"status":"' || status || '","turn":' || turn || '}' AS json
         FROM j
+        UNION ALL
+        SELECT conv_id, NULL, turn, 'message', NULL, NULL, '', 0,
+               '{' || coalesce('"content":' || to_json(text) || ',', '') || coalesce('"role":' || to_json(role) || ',', '') || '"status":"message"' || coalesce(',"turn":' || turn, '') || '}'
+        FROM o
     """,
     "op13_lexical_search": r"""
         WITH d AS (

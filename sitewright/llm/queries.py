@@ -43,6 +43,11 @@ def tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """Turns of neither user nor assistant, those of no role too."""
+    return conversations.where("role is null or role not in ('user', 'assistant')").select("conv_id", "turn", "role", F.col("text").alias("content"))
+
+
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -73,7 +78,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_calls(*tool_calls(table(spark, sf_dir, "conversations")), TOOLS)
+    conversations = table(spark, sf_dir, "conversations")
+    return chat.format_calls(*tool_calls(conversations), TOOLS, other_turns(conversations))
 
 
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
