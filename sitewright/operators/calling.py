@@ -134,6 +134,7 @@ def contig_quality(lengths: DataFrame, calls: DataFrame) -> DataFrame:
 
 def quality_lines(qc: DataFrame) -> DataFrame:
     """The two report lines of each taxon, as ``(taxon, line_no, line)``."""
+    # Sentences of the site report.
     first = F.format_string(
         "Of %d positions, %s has good calls for %d sites (%s%%). There were %d N calls (%s%%).",
         "positions", "taxon", "called", "called_percent", "n_calls", "n_percent",

@@ -94,6 +94,7 @@ def missing_entries(listing: DataFrame, required: DataFrame | None = None) -> Da
 
 def class_lines(totals: DataFrame) -> DataFrame:
     """Alignment summary lines, ``(line_no, line)``."""
+    # Sentences of the alignment summary and the file each one is about.
     say = lambda col, text: F.format_string("%d " + text, col)
     return totals.select(
         F.posexplode(

@@ -60,6 +60,7 @@ def nexus_pieces(sites: DataFrame, taxa: Sequence[str]) -> DataFrame:
     sites = _with_locus(sites)
     keys, block = _order_and_block(sites)
     nchar = sites.count()
+    # Header of a NEXUS data block.
     head = (
         f"#NEXUS\n\nBEGIN DATA;\nDIMENSIONS NTAX={len(taxa)} NCHAR={nchar};\n"
         "FORMAT MISSING=? GAP=- DATATYPE=DNA;\nMATRIX\n["
@@ -147,6 +148,7 @@ def sample_sheet() -> str:
 
 def partition_document(folder: str, dataset: str) -> str:
     """NEXUS partition file for the gapless DNA part and the recoded gap part."""
+    # Names of the two parts, lines of the partition file and its models.
     dna, gaps = (f"{folder}/{dataset}_{part}.phylip-relaxed" for part in ("NoGaps", "RecodedGaps"))
     rows = [
         "#nexus",
