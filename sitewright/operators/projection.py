@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from sitewright.functions import cigar as C
 from sitewright.functions.text import thousands
 from sitewright.operators.genome import explode_range
-from sitewright.session import materialise
 
 #: Bases of a chromosome that one group sweeps.
 RANGE = 1 << 16
@@ -82,38 +81,47 @@ def overlap_report(bed: DataFrame) -> DataFrame:
     ))
 
 
-def single_stretches(runs: DataFrame, width: int = RANGE) -> DataFrame:
-    """``(chrom, low, high, run)``: stretches of a genome that one run covers and no other, by a sweep.
+def _swept(runs: DataFrame, kept: list[str], width: int) -> DataFrame:
+    """Every run cut at multiples of ``width``: ``chrom``, its own ``bases``, ``low`` and ``high`` of a stretch that one run alone covers, and ``kept`` of that run.
 
-    ``runs`` has ``run`` (a number of its own), ``chrom``, ``genome_pos`` and ``size``. Runs are cut at
-    multiples of ``width`` and each range of a chromosome is swept on its own: ends open and close in order,
-    a running sum is the depth, and where it is 1 the exclusive or of the open runs is the one that is open.
-    Rows are as many as ends of runs, however long the runs are.
+    Runs of a range stand in order of their start. Up to the next start only the run that reaches
+    farthest so far is open beyond the second farthest end, which is the farthest of the ends that
+    lost against another. So a run is one row of one shuffle, however long it is and whatever it carries.
     """
-    last = F.col("genome_pos") + F.col("size") - 1
     ranges = F.sequence(F.expr(f"genome_pos div {width}"), F.expr(f"(genome_pos + size - 1) div {width}"))
-    cut = runs.filter(F.col("size") > 0).select("run", "chrom", "genome_pos", "size", F.explode_outer(ranges).alias("range"))
-    low, high = F.greatest(F.col("range") * width, F.col("genome_pos")), F.least((F.col("range") + 1) * width, last + 1)
-    ends = F.array(F.struct(low.alias("at"), F.lit(1).alias("turn")), F.struct(high.alias("at"), F.lit(-1).alias("turn")))
-    events = cut.select("chrom", "range", "run", F.explode_outer(ends).alias("e")).groupBy("chrom", "range", "e.at").agg(F.sum("e.turn").alias("turn"), F.bit_xor("run").alias("run"))
+    cut = runs.filter(F.col("size") > 0).select("chrom", "genome_pos", "size", *[k for k in kept if k not in ("chrom", "genome_pos", "size")], F.explode_outer(ranges).alias("range"))
+    low = F.greatest(F.when(F.col("range").isNotNull(), F.col("range") * width), F.col("genome_pos"))
+    high = F.when(F.col("genome_pos").isNotNull(), F.least((F.col("range") + 1) * width, F.col("genome_pos") + F.col("size")))
+    cut = cut.withColumns({"at": low, "end": high}).withColumn("bases", F.coalesce(F.col("end") - F.col("at"), "size"))
     swept = W.partitionBy("chrom", "range").orderBy("at")
-    so_far = swept.rowsBetween(W.unboundedPreceding, W.currentRow)
-    depth = events.select("chrom", F.col("at").alias("low"), F.lead("at").over(swept).alias("high"), F.sum("turn").over(so_far).alias("depth"), F.bit_xor("run").over(so_far).alias("run"))
-    return depth.filter("depth = 1 and high is not null").select("chrom", "low", "high", "run")
+    so_far, before = swept.rowsBetween(W.unboundedPreceding, W.currentRow), swept.rowsBetween(W.unboundedPreceding, -1)
+    top = F.max(F.struct("end", *kept)).over(so_far)
+    lost = F.max("end").over(before)
+    placed = cut.select("chrom", "range", "at", "bases", top.alias("top"), F.when(lost.isNotNull(), F.least("end", lost)).alias("lost"), F.lead("at").over(swept).alias("next"))
+    second = F.max("lost").over(so_far)
+    return placed.select("chrom", "bases", F.greatest("at", second).alias("low"), F.least("top.end", "next").alias("high"), *[F.col(f"top.{k}") for k in kept if k != "chrom"])
+
+
+def single_stretches(runs: DataFrame, width: int = RANGE, kept: list[str] | None = None) -> DataFrame:
+    """``(chrom, low, high, run)``: stretches of a genome that one run covers and no other, by a sweep.
+
+    ``runs`` has ``chrom``, ``genome_pos``, ``size`` and the columns ``kept`` (``run`` if not given), which
+    the stretches tell of the run that covers them. Each range of a chromosome is swept on its own.
+    """
+    return _swept(runs, kept or ["run"], width).filter("low < high").drop("bases")
 
 
 def overlap_report_of_runs(runs: DataFrame) -> DataFrame:
-    """``overlap_report`` from ``aligned_runs``: no row per base is made."""
-    numbered = runs.filter(F.col("size") > 0).withColumn("run", F.lit(0).cast("bigint"))
-    mapped = numbered.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("bigint")).scalar()
-    kept = single_stretches(numbered).agg(F.coalesce(F.sum(F.col("high") - F.col("low")), F.lit(0)).cast("bigint").alias("kept"))
-    return _report(kept.select(mapped.alias("mapped"), "kept"))
+    """``overlap_report`` from ``aligned_runs``: no row per base is made, and the runs are read once."""
+    kept = F.sum(F.when(F.col("low") < F.col("high"), F.col("high") - F.col("low")))
+    return _report(_swept(runs, [], RANGE).agg(
+        F.coalesce(F.sum("bases"), F.lit(0)).cast("bigint").alias("mapped"), F.coalesce(kept, F.lit(0)).cast("bigint").alias("kept"),
+    ))
 
 
 def unique_bases(runs: DataFrame) -> DataFrame:
     """``keep_unique`` of ``aligned_runs``: bases are listed only where one run covers the genome."""
-    numbered = materialise(runs.withColumn("run", F.monotonically_increasing_id()))
-    found = single_stretches(numbered).join(numbered.drop("chrom"), "run")
+    found = single_stretches(runs, kept=["genome_pos", "contig", "contig_pos", "direction"])
     listed = explode_range(found, F.col("low"), F.col("high") - 1, "at")
     step = F.col("at") - F.col("genome_pos")
     on_contig = F.col("contig_pos") + F.when(F.col("direction") == FORWARD, step).otherwise(-step)

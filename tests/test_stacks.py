@@ -78,6 +78,18 @@ def test_sweep_against_bases(spark):
     assert P.overlap_report_of_runs(df.where("false")).first().mapped == 0
 
 
+def test_sweep_shuffles_each_run_once(spark):
+    runs = [("a", "x", 0, 1, 1, 200), ("b", "x", 0, 5, 1, 3), ("b", "x", 16, 5, 9, 3), ("c", "x", 0, 40, 1, 5), ("d", "x", 0, 150, 1, 80), ("e", None, 0, 3, 1, 2), ("f", "x", 0, None, 1, 7), ("g", "x", 0, 3, 1, None)]
+    df = spark.createDataFrame(runs, "contig string, chrom string, direction int, genome_pos bigint, contig_pos bigint, size bigint")
+    bases, report = P.unique_bases(df), P.overlap_report_of_runs(df)
+    want = {("x", p - 1): f"a/{p}" for p in [*range(1, 5), *range(8, 40), *range(45, 150)]} | {("x", p - 1): f"d/{p - 149}" for p in range(201, 230)} | {(None, 2): "e/1", (None, 3): "e/2"}
+    assert {(r.chrom, r.start): r.name for r in bases.collect()} == want
+    assert (report.first().mapped, report.first().kept) == (200 + 3 + 3 + 5 + 80 + 2 + 7, len(want))
+    for made in (P.unique_bases(df), P.overlap_report_of_runs(df)):
+        plan = made._jdf.queryExecution().explainString(made._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "ubquery" not in plan
+
+
 def test_numbers_without_gaps(spark):
     rows = spark.range(0, 5000, 3).repartition(7).withColumnRenamed("id", "k")
     got = {r.k: r.slot for r in K.numbered(rows, "k").collect()}
