@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewright.functions import cigar as C
-from sitewright.operators.genome import explode_range, rechunk
+from sitewright.operators.genome import rechunk
 from sitewright.operators.projection import REVERSE, mapped_only
 
+#: Letters of the shortest stretch of reference: a read is sent to each stretch that it covers.
+LEAST = 256
+
 STEPS = "array<struct<op:string,size:bigint,at:bigint,base:bigint,mark:string>>"
 
 
@@ -41,31 +44,33 @@ def _steps(seq: Column) -> Column:
     return F.aggregate("segs", start, step, lambda acc: acc["steps"])
 
 
-def read_stacks(reads: DataFrame) -> DataFrame:
-    """One row per read and covered position, ``(contig, pos, start, read, letter, head, tail, backward)``.
+def _tokens(first: Column, last: Column) -> Column:
+    """Tokens of a read at the positions ``first`` to ``last`` of its span, counted from 0, against the letters of ``ref``.
 
-    ``reads`` has ``read, contig, start`` (1-based), ``flag, mapq, cigar, seq``. Unmapped reads and
-    those without a match cover nothing. ``letter`` is a read base, ``*`` in a deletion or ``>`` in a skip.
+    ``letter`` is a read base, ``*`` in a deletion or ``>`` in a skip. ``ref`` gives a position's reference base.
     """
-    # exploding an array of one keeps the planner from walking the segments again for every use
-    walked = C.with_segments(mapped_only(reads)).withColumn("steps", F.explode_outer(F.array(_steps(F.col("seq")))))
-    placed = walked.filter(F.size("steps") > 0)
-    spread = placed.withColumn("span", F.aggregate("steps", F.lit(0).cast("bigint"), lambda n, s: n + s["size"]))
-    each = spread.select("read", "contig", "start", "flag", "mapq", "seq", "span", F.explode_outer("steps").alias("s"))
-    bases = explode_range(each, F.lit(0), F.col("s.size") - 1, "i")
-    offset = F.col("s.at") + F.col("i")
-    read_base = F.substring("seq", (F.col("s.base") + F.col("i") + 1).cast("int"), F.lit(1))
-    letter = F.when(F.col("s.op") == "M", F.upper(read_base)).when(F.col("s.op") == "D", F.lit("*")).otherwise(F.lit(">"))
+    backward = F.col("flag").bitwiseAND(F.lit(REVERSE)) > 0
     quality = F.char(F.least(F.coalesce("mapq", F.lit(0)), F.lit(93)) + 33)
-    return bases.select(
-        "contig", (F.col("start") + offset).alias("pos"), "start", "read", letter.alias("letter"),
-        F.when(offset == 0, F.concat(F.lit("^"), quality)).otherwise(F.lit("")).alias("head"),
-        F.concat(F.when(F.col("i") == F.col("s.size") - 1, F.col("s.mark")).otherwise(F.lit("")), F.when(offset == F.col("span") - 1, F.lit("$")).otherwise(F.lit(""))).alias("tail"),
-        (F.col("flag").bitwiseAND(F.lit(REVERSE)) > 0).alias("backward"),
-    )
+    strand = lambda text: F.when(backward, F.lower(text)).otherwise(text)
+
+    def of(s: Column, offset: Column) -> Column:
+        i = offset - s["at"]
+        letter = F.when(s["op"] == "M", F.upper(F.substring("seq", (s["base"] + i + 1).cast("int"), F.lit(1)))).when(s["op"] == "D", F.lit("*")).otherwise(F.lit(">"))
+        at = F.col("start") + offset - F.col("offset")
+        ref = F.upper(F.coalesce(F.nullif(F.substring("ref_seq", at.cast("int"), F.lit(1)), F.lit("")), F.lit("N")))
+        shown = F.when(letter == ref, F.when(backward, F.lit(",")).otherwise(F.lit("."))).when(letter == ">", F.when(backward, F.lit("<")).otherwise(F.lit(">"))).otherwise(strand(letter))
+        head = F.when(offset == 0, F.concat(F.lit("^"), quality)).otherwise(F.lit(""))
+        tail = F.concat(F.when(i == s["size"] - 1, s["mark"]).otherwise(F.lit("")), F.when(offset == F.col("span") - 1, F.lit("$")).otherwise(F.lit("")))
+        return F.concat(head, shown, strand(tail))
 
+    def within(s: Column) -> Column:
+        low, high = F.greatest(s["at"], first), F.least(s["at"] + s["size"] - 1, last)
+        return F.when(low <= high, F.transform(F.sequence(low, high), lambda offset: of(s, offset))).otherwise(F.array().cast("array<string>"))
 
-def pileup_of_reads(reads: DataFrame, chunks: DataFrame, span: int = 4096) -> DataFrame:
+    return F.flatten(F.transform("steps", within))
+
+
+def pileup_of_reads(reads: DataFrame, chunks: DataFrame, span: int = 4096, ways: int = 8) -> DataFrame:
     """Pileup rows ``(contig, pos, ref, depth, bases, quals)`` of aligned reads against reference chunks.
 
     Reads stand in order of their start, then name. Bases equal to the reference are dots, or commas on the
@@ -73,21 +78,36 @@ def pileup_of_reads(reads: DataFrame, chunks: DataFrame, span: int = 4096) -> Da
     quality, end with ``$``, and insertions and deletions are told after the base before them. Positions without a
     reference base have ``N``.
 
-    Base by base only the read's own letters are shuffled, by contig and stretch of the reference; the reference
-    joins there once. A site's reads are put in order in groups by their start, which are joined afterwards, so a
-    very deep site is sorted by many tasks.
+    Reads are shuffled whole, once for each stretch of the reference that they cover, and meet the reference
+    there; bases leave a task only as the joined tokens of all reads with one start. Starts are dealt into
+    ``ways`` shares of a stretch, so a very deep site is put in order by many tasks.
     """
-    cells = read_stacks(reads).withColumn("chunk", F.expr(f"(pos - 1) div {span}"))
+    span = max(span, LEAST)
+    covered = F.aggregate("segs", F.lit(0).cast("bigint"), lambda n, s: n + F.when(s["op"].isin("M", "=", "X", "D", "N"), s["size"]).otherwise(F.lit(0)))
+    placed = C.with_segments(mapped_only(reads)).withColumn("span", covered)
+    stretches = F.sequence(F.expr(f"(start - 1) div {span}"), F.expr(f"(start + span - 2) div {span}"))
+    pieces = placed.filter("span > 0").select("read", "contig", F.col("start").cast("bigint").alias("start"), "flag", "mapq", "cigar", "seq", "span", F.explode_outer(stretches).alias("chunk"))
+    pieces = pieces.withColumn("way", F.pmod(F.xxhash64("start"), F.lit(ways)).cast("int")).repartition("contig", "chunk", "way")
     reference = rechunk(chunks, span).select("contig", F.expr(f"offset div {span}").alias("chunk"), "offset", F.col("seq").alias("ref_seq"))
-    met = cells.join(reference, ["contig", "chunk"], "left")
-    ref = F.upper(F.coalesce(F.nullif(F.substring("ref_seq", (F.col("pos") - F.col("offset")).cast("int"), F.lit(1)), F.lit("")), F.lit("N")))
-    strand = lambda text: F.when(F.col("backward"), F.lower(text)).otherwise(text)
-    same = F.when(F.col("backward"), F.lit(",")).otherwise(F.lit("."))
-    shown = F.when(F.col("letter") == F.col("ref"), same).when(F.col("letter") == ">", F.when(F.col("backward"), F.lit("<")).otherwise(F.lit(">"))).otherwise(strand(F.col("letter")))
-    token = F.concat("head", shown, strand(F.col("tail")))
-    told = met.withColumn("ref", ref).select("contig", "pos", "ref", "start", "read", token.alias("token"))
-    groups = told.groupBy("contig", "pos", "ref", "start").agg(F.sort_array(F.collect_list(F.struct("read", "token"))).alias("t"))
-    lines = groups.select("contig", "pos", "ref", "start", F.array_join(F.transform("t", lambda x: x["token"]), "").alias("text"), F.size("t").alias("n"))
+    reference = reference.withColumn("way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    met = pieces.join(reference, ["contig", "chunk", "way"], "left")
+    # exploding an array of one keeps the planner from walking the segments again for every use
+    met = C.with_segments(met).withColumn("steps", F.explode_outer(F.array(_steps(F.col("seq")))))
+    first, last = F.greatest(F.lit(0), F.col("chunk") * span + 1 - F.col("start")), F.least(F.col("span") - 1, (F.col("chunk") + 1) * span - F.col("start"))
+    told = met.withColumn("tokens", _tokens(first, last))
+    groups = told.groupBy("contig", "chunk", "way", "start").agg(F.first("offset").alias("offset"), F.first("ref_seq").alias("ref_seq"), F.sort_array(F.collect_list(F.struct("read", "tokens"))).alias("t"))
+    from_ = F.greatest(F.col("start"), F.col("chunk") * span + 1)
+    longest = F.array_max(F.transform("t", lambda x: F.size(x["tokens"])))
+    token = lambda x, y: F.struct(x["read"].alias("read"), y.alias("token"))
+    at = lambda i: F.transform(F.filter("t", lambda x: F.size(x["tokens"]) > i), lambda x: token(x, F.get(x["tokens"], i)))
+    lines = F.transform(F.sequence(F.lit(0), longest - 1), lambda i: F.struct((from_ + i).alias("pos"), F.when(F.col("alike"), F.sort_array(at(i))).otherwise(at(i)).alias("tokens")))
+    everywhere = F.flatten(F.transform("t", lambda x: F.transform(x["tokens"], lambda y: token(x, y))))  # reads without a start share one site
+    lines = F.when(F.col("start").isNull(), F.array(F.struct(F.lit(None).cast("bigint").alias("pos"), F.sort_array(everywhere).alias("tokens")))).otherwise(lines)
+    names = F.transform("t", lambda x: x["read"])
+    groups = groups.withColumn("alike", F.size(F.array_distinct(names)) < F.size("t"))  # else the reads are in order already
+    lines = groups.select("contig", "start", "offset", "ref_seq", F.explode_outer(lines).alias("l"))
+    ref = F.upper(F.coalesce(F.nullif(F.substring("ref_seq", (F.col("l.pos") - F.col("offset")).cast("int"), F.lit(1)), F.lit("")), F.lit("N")))
+    lines = lines.select("contig", F.col("l.pos").alias("pos"), ref.alias("ref"), "start", F.array_join(F.transform("l.tokens", lambda x: x["token"]), "").alias("text"), F.size("l.tokens").alias("n"))
     joined = lines.groupBy("contig", "pos", "ref").agg(F.sort_array(F.collect_list(F.struct("start", "text", "n"))).alias("parts"))
     depth = F.aggregate("parts", F.lit(0), lambda n, x: n + x["n"])
     bases = F.array_join(F.transform("parts", lambda x: x["text"]), "")

@@ -60,6 +60,22 @@ def test_pileup_of_reads(spark):
     assert ST.pileup_of_reads(spark.createDataFrame([], READS), chunks).count() == 0
 
 
+def test_pileup_shuffles_reads_and_not_bases(spark, monkeypatch):
+    """Reads of one name, reads over several stretches, and of 80 rows of 40 bases no base but joined ones in a shuffle."""
+    reads = [(f"r{i // 2}", "a", 1 + i % 4, 16 * (i % 2), 60, "20M2D20M" if i % 3 else "40M", "ACGT" * 10) for i in range(80)]
+    chunks = spark.createDataFrame([("a", 0, "ACGA" * 20)], "contig string, offset bigint, seq string")
+    made = ST.pileup_of_reads(spark.createDataFrame(reads, READS), chunks)
+    plan = made._jdf.queryExecution().explainString(made._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    below = plan[plan.index("ObjectHashAggregate", plan.index("Generate")) :]
+    assert "posexplode" not in plan and "letter" not in plan and "way" in below
+    monkeypatch.setattr(ST, "LEAST", 1)
+    sorted_ = lambda t: sorted(t.upper())
+    want = slow_pileup(reads, {"a": "ACGA" * 20})
+    for span, ways in ((7, 1), (4096, 3)):
+        got = {(r.contig, r.pos): (r.depth, r.bases) for r in ST.pileup_of_reads(spark.createDataFrame(reads, READS), chunks, span, ways).collect()}
+        assert got.keys() == want.keys() and all(got[k][0] == d and sorted_(got[k][1]) == sorted_(t) for k, (d, t) in want.items())
+
+
 def test_sweep_against_bases(spark):
     rng = random.Random(10)
     runs = [(f"q{i}", rng.choice("xy"), rng.choice([0, 16]), rng.randint(1, 400), 50, rng.choice([1, 2, 9, 40])) for i in range(120)] + [("long", "x", 0, 380, 1, 500), ("z", "y", 0, 5, 1, 0)]
