@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sitewright.llm.common import stored, utf8
 from sitewright.llm.exchange import ANSWERED, answers, as_table, asked_by, at_keys, blocks_of, cut_like, from_planes, join_blocks, mixed, of_kind, questions_to, replies_to, shards_of
-from sitewright.session import materialise
+from sitewright.session import materialise, planned_once
 
 ORDER = 5
 BITS = 9
@@ -198,7 +198,8 @@ def classify(docs: DataFrame, trusted: DataFrame, low: float = 0.05, high: float
     text counts as empty (one symbol), a null lang is a language of its own, a null doc_id is
     never trusted, repeated rows give a row each and count again in training, other columns are ignored, an empty table gives none.
     """
-    scored = materialise(perplexities(docs, trusted, fold() > 0, id_col, text_col, lang_col, key_col))
+    with planned_once(docs.sparkSession):  # the tables of all orders go back to the same grams, ten times in all
+        scored = materialise(perplexities(docs, trusted, fold() > 0, id_col, text_col, lang_col, key_col))
     sets = scored.where("trusted").where(fold() == 0)
     bounds = [F.percentile_approx("perplexity", q, 10_000) * w for q, w in ((low, 1 / (1 + slack)), (high, 1 + slack))]
     each = sets.groupBy(F.coalesce("lang", F.lit("")).alias("of"), F.col("lang").isNull().alias("no_lang")).agg(F.count("*").alias("n"), *[b.alias(k) for b, k in zip(bounds, ("lower", "upper"))])

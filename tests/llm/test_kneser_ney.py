@@ -80,3 +80,13 @@ def test_odd_tables(spark):
 
 def test_query_has_every_document(spark):
     assert QUERIES["op2_quality_classifier"](spark, "/root/testdata/sf0.001").count() == 200
+
+
+def test_plan_is_made_once(spark, monkeypatch):
+    """The plan of all orders is not planned and described anew after each of its stages; other plans are."""
+    plans, keep = [], kneser_ney.materialise
+    monkeypatch.setattr(kneser_ney, "materialise", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    docs = spark.createDataFrame([(i, f"text {i}", "en") for i in range(9)], "doc_id long, text string, lang string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    assert kneser_ney.classify(docs, docs.select("doc_id")).count() == 9
+    assert len(plans) == 1 and "AdaptiveSparkPlan" not in plans[0] and spark.conf.get("spark.sql.adaptive.enabled") == before == "true"
