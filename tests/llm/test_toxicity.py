@@ -101,6 +101,50 @@ def test_model_stays_in_the_tasks(spark, monkeypatch):
     assert sizes and max(map(len, sizes)) < 200 < 40_000
 
 
+def test_words_count_whole(spark):
+    """Words that differ after their sixteenth byte only, in ranges cut there too, against the chances of whole words."""
+    rng = random.Random(13)
+    made = ["unmistakably" + "".join(rng.choice("ab") for _ in range(rng.randint(0, 14))) for _ in range(60)] + ["é" * 9, "é" * 10 + "a", "a" * 40, "a" * 17, "b" * 300]
+    texts = [(" ".join(rng.choice(made) for _ in range(40)) + f" grandmotherly{'vile' if i % 2 else 'kind'}word", i % 2) for i in range(30)]
+    words = toxicity.word_counts(spark.createDataFrame(texts, "text string, toxic int"))
+    assert {r.word for r in words.collect()} == {w for t, _ in texts for w in toxicity.words_of(t)}
+
+    class Whole(Plain):
+        def __init__(self, texts):
+            whole = lambda w: [((w + b"\x00")[:i], (w + b"\x00")[i : i + 1]) for i in range(len(w) + 1)]
+            self.shared, self.whole = 10.0, whole
+            self.c = [Counter(e for t, x in texts if x == k for w in toxicity.words_of(t) for e in whole(w)) for k in (0, 1)]
+            self.c.append(self.c[0] + self.c[1])
+            self.low = Counter(((b" " + h if len(h) < 3 else h[-3:]), a) for h, a in self.c[2])
+            self.d = [self.discount(c) for c in (*self.c, self.low)]
+
+        def ratio(self, word):
+            total = 0.0
+            for h, a in self.whole(word):
+                total += math.log(self.chance(1, h, a) / self.chance(0, h, a))
+                if (h, a) not in self.c[2]:
+                    break
+            return total
+
+    plain = Whole(texts)
+    asked = [*made, "grandmotherlyvileword", "grandmotherlykindword", "grandmotherlyvil", "unmistakablyababc", "é" * 11, "a" * 41, "a" * 16, "a" * 25, "unmistakablyb" + "a" * 30, "b" * 5000]
+    ratios = [plain.ratio(w.encode()) for w in asked]
+    for cuts in ([], [b"a" * 20, b"grandmotherlyvilex", b"unmistakablyabab", b"unmistakablyababab", b"unmistakablybbbabaaaaaa", "é".encode() * 9 + b"\x00"], toxicity.cuts_of(words, 9)):
+        model = toxicity.spelling_model(words, cuts, width=None)
+        spelling = toxicity.Spelling(model.toArrow(), None)
+        assert all(abs(spelling.ratio(w.encode()) - x) < 1e-9 for w, x in zip(asked, ratios))
+        got = toxicity.scores_of(spark.createDataFrame(list(enumerate(asked)), SCHEMA), model, cuts, width=None).collect()
+        assert len(got) == len(asked) and all(abs(r.evidence - math.log1p(0.02 * math.expm1(ratios[r.doc_id]))) < 1e-9 for r in got)
+
+
+def test_score_tells_words_by_their_ends(spark):
+    docs = spark.createDataFrame([(i, "grandmotherly" + ("vileword" if i % 2 else "kindword") + " and then") for i in range(200)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    longer = docs.selectExpr("doc_id", "replace(text, 'grandmotherly', 'greatgrandmotherly') AS text")
+    for texts in (docs, longer):
+        assert all(r.predicted == r.doc_id % 2 for r in toxicity.score(texts, labels).collect())
+
+
 def test_sample_is_bounded(spark):
     rows = [(i, "w" * (i % 50)) for i in range(4000)] + [(5000, "z" * 90_000)] + [(5001, "again")] * 900
     docs = spark.createDataFrame(rows, SCHEMA)
