@@ -198,7 +198,11 @@ def aligned_reads(spark, sf_dir) -> DataFrame:
     li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     sizes = li.selectExpr("*", "l_linenumber % 3 AS clip", "4 + l_linenumber % 3 AS first", "1 + l_orderkey % 2 AS more", "1 + l_suppkey % 2 AS less")
     cigar = F.expr("concat(CASE WHEN clip > 0 THEN concat(clip, 'S') ELSE '' END, first, 'M', more, 'I3M', less, 'D4M')")
-    letters = F.expr("array_join(transform(sequence(0, cast(clip + first + more + 6 AS int)), q -> substr('ACGT', cast(1 + (l_orderkey + q * l_linenumber) % 4 AS int), 1)), '')")
+    letter = "substr('ACGT', cast(1 + (l_orderkey + {} * l_linenumber) % 4 AS int), 1)"
+    four = "concat(" + ", ".join(letter.format(q) for q in range(4)) + ")"  # letters come again after four while no remainder is negative
+    again = f"substr(repeat({four}, cast((clip + first + more + 10) div 4 AS int)), 1, cast(clip + first + more + 7 AS int))"
+    each = f"array_join(transform(sequence(0, cast(clip + first + more + 6 AS int)), q -> {letter.format('q')}), '')"
+    letters = F.expr(f"CASE WHEN l_orderkey >= 0 AND l_linenumber >= 0 THEN {again} ELSE {each} END")
     return sizes.select(
         F.expr("concat(lpad(l_orderkey, 12, '0'), '_', l_linenumber, '_', lpad(l_suppkey, 8, '0'), '_', lpad(cast(l_quantity AS int), 3, '0'))").alias("read"),
         F.expr(f"concat('c', l_partkey div {SPAN})").alias("contig"), F.expr("1 + l_partkey % 30").alias("start"),

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pyarrow as pa
+
 from sitewright.operators import calling as CA
 from sitewright.operators import clustering as K
 from sitewright.operators import projection as P
@@ -76,6 +78,32 @@ def test_pileup_shuffles_reads_and_not_bases(spark, monkeypatch):
         assert got.keys() == want.keys() and all(got[k][0] == d and sorted_(got[k][1]) == sorted_(t) for k, (d, t) in want.items())
 
 
+def test_pileup_walks_bases_in_arrays(spark, monkeypatch):
+    """No lambda walks a read, and odd rows stay: names that are null or come twice, reads without start, quality or bases, a repeated chunk of the reference."""
+    genome = {"a": "ACGTACGTAC", "b": "GGTT"}
+    reads = [
+        ("r2", "a", 1, 0, 60, "4M", "ACGA"), (None, "a", 1, 16, None, "2M1I2M", "AGTCC"), ("r1", "a", 1, 0, 200, "1M2D1M", "GT"), ("r1", "a", 1, 0, 9, "3M", "GGG"),
+        ("s", "a", None, 0, 0, "2M", "AC"), ("t", "a", None, 16, 0, "1M", "G"), ("n", "a", 9, 0, 0, "1M1D1M", None), ("u", "b", 3, 0, 0, "2M2N1M", "T"), ("v", None, 2, 0, 0, "1M", "A"),
+    ]
+    chunks = spark.createDataFrame([(c, 0, x) for c, x in genome.items()], "contig string, offset bigint, seq string")
+    made = ST.pileup_of_reads(spark.createDataFrame(reads, READS), chunks)
+    plan = made._jdf.queryExecution().explainString(made._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "lambda" not in plan[plan.index("Generate") :] and "MapInArrow" in plan
+    got = {(r.contig, r.pos): (r.ref, r.depth, r.bases) for r in made.collect()}
+    assert got == {
+        ("a", 1): ("A", 4, "^!,^*G^~G-2NN^]."), ("a", 2): ("C", 4, "g+1t*G."), ("a", 3): ("G", 4, "c*.$."), ("a", 4): ("T", 3, "c$.$A$"),
+        ("a", None): ("N", 3, "C$^!A^!g$"), ("a", 9): ("A", 1, ""), ("a", 10): ("C", 1, "*"), ("a", 11): ("N", 1, ""),
+        ("b", 3): ("T", 1, "^!."), ("b", 4): ("T", 1, ""), ("b", 5): ("N", 1, ">"), ("b", 6): ("N", 1, ">"), ("b", 7): ("N", 1, "$"), (None, 2): ("N", 1, "^!A$"),
+    }
+    groups = pa.record_batch({"contig": ["a"], "chunk": [0], "start": [3], "reads": [[{"read": f"r{i}", "flag": 16 * (i % 2), "mapq": 60, "cigar": "3M1I2D4M", "seq": "ACGTACGT"} for i in range(9)]], "refs": [[{"offset": 0, "ref_seq": "ACGTACGTAC"}]]})
+    whole = pa.Table.from_batches(list(ST._stacked(256)([groups])))
+    monkeypatch.setattr(ST, "TOKENS", 20)  # many reads of one start come two sites at a time
+    cut = pa.Table.from_batches(list(ST._stacked(256)([groups])))
+    assert len(cut) == 5 and cut["lines"].combine_chunks().flatten().equals(whole["lines"].combine_chunks().flatten())
+    twice = ST.pileup_of_reads(spark.createDataFrame(reads[:1], READS), chunks.union(chunks))
+    assert {(r.pos, r.depth, r.bases) for r in twice.collect()} == {(1, 2, "^].^]."), (2, 2, ".."), (3, 2, ".."), (4, 2, "A$A$")}
+
+
 def test_sweep_against_bases(spark):
     rng = random.Random(10)
     runs = [(f"q{i}", rng.choice("xy"), rng.choice([0, 16]), rng.randint(1, 400), 50, rng.choice([1, 2, 9, 40])) for i in range(120)] + [("long", "x", 0, 380, 1, 500), ("z", "y", 0, 5, 1, 0)]
